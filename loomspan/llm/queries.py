@@ -1,8 +1,10 @@
 """The queries of this subpackage: name -> callable(spark, sf_dir), and the SQL of those that SQL can express."""
 
 from loomspan.llm.mixing import op7_source_mix
+from loomspan.llm.quality import op6_quality
 
 QUERIES = {
+    "op6_quality": op6_quality,
     "op7_source_mix": op7_source_mix,
 }
 
