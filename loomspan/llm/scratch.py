@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +30,27 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each context, so that they need no path of the driver's."""
+    sc = spark.sparkContext
+    if getattr(sc, "_loomspan_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="loomspan-py-"), "loomspan.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(top)))
+    sc.addPyFile(archive)
+    sc._loomspan_shipped = True
+
+
 class Scratch:
     """Tables of one operator call: each is written once, so a lost executor costs no recomputation."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/loomspan/{name}-{uuid.uuid4().hex}"
         self.made = 0
