@@ -1,10 +1,12 @@
 """The queries of this subpackage: name -> callable(spark, sf_dir), and the SQL of those that SQL can express."""
 
+from loomspan.llm.langid import op1_language
 from loomspan.llm.mixing import op7_source_mix
 from loomspan.llm.packing import op5_packing
 from loomspan.llm.quality import op6_quality
 
 QUERIES = {
+    "op1_language": op1_language,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_source_mix": op7_source_mix,
