@@ -4,12 +4,14 @@ from loomspan.llm.langid import op1_language
 from loomspan.llm.mixing import op7_source_mix
 from loomspan.llm.packing import op5_packing
 from loomspan.llm.quality import op6_quality
+from loomspan.llm.spans import op9_sentence_spans
 
 QUERIES = {
     "op1_language": op1_language,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_source_mix": op7_source_mix,
+    "op9_sentence_spans": op9_sentence_spans,
 }
 
 ORACLE_SQL: dict[str, str] = {}
