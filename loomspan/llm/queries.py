@@ -1,5 +1,6 @@
 """The queries of this subpackage: name -> callable(spark, sf_dir), and the SQL of those that SQL can express."""
 
+from loomspan.llm.jaccard import op4_jaccard_join
 from loomspan.llm.langid import op1_language
 from loomspan.llm.mixing import op7_source_mix
 from loomspan.llm.packing import op5_packing
@@ -8,6 +9,7 @@ from loomspan.llm.spans import op9_sentence_spans
 
 QUERIES = {
     "op1_language": op1_language,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_source_mix": op7_source_mix,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -63,6 +64,11 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def settle(self) -> None:
+        """Let go of shuffle files that only finished steps have read; the JVM finds them when it collects garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables that nothing reads any more."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
