@@ -2,6 +2,7 @@
 
 from loomspan.llm.jaccard import op4_jaccard_join
 from loomspan.llm.langid import op1_language
+from loomspan.llm.lines import op8_line_dedup
 from loomspan.llm.mixing import op7_source_mix
 from loomspan.llm.packing import op5_packing
 from loomspan.llm.quality import op6_quality
@@ -13,6 +14,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_source_mix": op7_source_mix,
+    "op8_line_dedup": op8_line_dedup,
     "op9_sentence_spans": op9_sentence_spans,
 }
 
