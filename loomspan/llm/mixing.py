@@ -12,7 +12,7 @@ A null or repeated id changes nothing but the hash: equal rows are rounded alike
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -66,32 +66,56 @@ def balance(hist: DataFrame, sources: DataFrame, scratch: Scratch, cap: float =
     return state
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """docs: doc_id, source, size (long). Returns each with source_size, target, rate and copies (0 to ``cap``)."""
+def _rated(docs: DataFrame, solved: DataFrame, cap: float) -> DataFrame:
+    """docs (doc_id, source, size and more) with source_size, target, rate, u (a hash from 0 to 1), sid and what else ``solved`` has."""
+    out = docs.join(small(solved.withColumnRenamed("source", "own")), F.col("source").eqNullSafe(F.col("own"))).drop("own")
+    bound = F.when(F.col("target") > 0, F.lit(float(cap))).otherwise(F.lit(0.0))
+    rate = F.when(F.col("lam").isNull(), bound).otherwise(F.round(F.least(F.lit(float(cap)), F.exp(F.col("lam") * F.col("size") / F.col("mean"))), 9))
+    u = F.pmod(F.xxhash64("doc_id", "size"), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    return out.withColumn("rate", rate).withColumn("u", u)
+
+
+def _copies(shift) -> Column:
+    return F.floor(F.col("rate") + F.pmod(F.col("u") + shift, F.lit(1.0))).cast("long")
+
+
+def solve(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """docs: doc_id, source, size. One row per source: source_size, target, mean, lam and shift, all that rates and copies hang on."""
     scratch = Scratch(docs.sparkSession, "mix")
-    docs = scratch.table(with_columns(docs, {"doc_id": "long", "source": "string", "size": "long"}))
     by_size = scratch.table(docs.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     sources = by_size.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n_docs"))
     sources = scratch.table(source_targets(sources, weights, share, cap))
     named = sources.select(F.col("source").alias("own"), "sid")
     hist = scratch.table(by_size.join(small(named), F.col("source").eqNullSafe(F.col("own"))).select("sid", "size", "n"))
-    solved = balance(hist, sources, scratch, cap)
-    bound = F.when(F.col("target") > 0, F.lit(float(cap))).otherwise(F.lit(0.0))
-    rate = F.when(F.col("lam").isNull(), bound).otherwise(F.round(F.least(F.lit(float(cap)), F.exp(F.col("lam") * F.col("size") / F.col("mean"))), 9))
-    dealt = docs.join(small(solved.select(F.col("source").alias("own"), "sid", "source_size", "target", "lam", "mean")), F.col("source").eqNullSafe(F.col("own")))
-    dealt = dealt.select("doc_id", "source", "size", "sid", "source_size", "target", rate.alias("rate"), (F.pmod(F.xxhash64("doc_id", "size"), F.lit(1 << 32)) / F.lit(float(1 << 32))).alias("u"))
-    copies = lambda shift: F.floor(F.col("rate") + F.pmod(F.col("u") + shift, F.lit(1.0)))
-    totals = dealt.groupBy("sid").agg(F.first("target").alias("target"), *[F.sum(F.col("size") * copies(F.lit(k / OFFSETS))).alias(f"t{k}") for k in range(OFFSETS)])
+    solved = balance(hist, sources, scratch, cap).select("source", "sid", "source_size", "target", "mean", "lam")
+    rated = _rated(docs, solved, cap)
+    totals = rated.groupBy("sid").agg(F.first("target").alias("target"), *[F.sum(F.col("size") * _copies(F.lit(k / OFFSETS))).alias(f"t{k}") for k in range(OFFSETS)])
     nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{k}") - F.col("target")).alias("off"), F.lit(k / OFFSETS).alias("shift")) for k in range(OFFSETS)]))
-    best = scratch.table(totals.select(F.col("sid").alias("best_sid"), nearest["shift"].alias("shift")))
-    out = dealt.join(small(best), F.col("sid") == F.col("best_sid"))
-    return out.select("doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), F.col("target").cast("double").alias("target"), "rate", copies(F.col("shift")).cast("long").alias("copies"))
+    best = totals.select(F.col("sid").alias("best_sid"), nearest["shift"].alias("shift"))
+    return scratch.table(solved.join(small(scratch.table(best)), F.col("sid") == F.col("best_sid")).drop("best_sid"))
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """docs: doc_id, source, size (long). Returns each with source_size, target, rate and copies (0 to ``cap``)."""
+    docs = Scratch(docs.sparkSession, "sizes").table(with_columns(docs, {"doc_id": "long", "source": "string", "size": "long"}))
+    out = _rated(docs, solve(docs, weights, share, cap), cap)
+    return out.select("doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), F.col("target").cast("double").alias("target"), "rate", _copies(F.col("shift")).alias("copies"))
+
+
+def mix_documents(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """Every document as often as the mix takes it, with its own columns."""
+    names = documents.columns
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *[c.alias(n) for n, c in _sizes().items()])
+    sizes = Scratch(documents.sparkSession, "sizes").table(documents.select(*[c.alias(n) for n, c in _sizes().items()]))
+    out = _rated(rows, solve(sizes, weights, share, cap), cap).withColumn("copies", _copies(F.col("shift"))).filter("copies > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
 
 
-def sized(documents: DataFrame) -> DataFrame:
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+def _sizes() -> dict[str, Column]:
+    return {"doc_id": F.col("doc_id").cast("long"), "source": F.col("source").cast("string"), "size": word_count(F.col("text"))}
 
 
 def op7_source_mix(spark, sf_dir: str) -> DataFrame:
-    mixed = mix(sized(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mixed = mix(documents.select(*[c.alias(n) for n, c in _sizes().items()]))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
