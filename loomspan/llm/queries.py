@@ -7,9 +7,12 @@ from loomspan.llm.mixing import op7_source_mix
 from loomspan.llm.packing import op5_packing
 from loomspan.llm.quality import op6_quality
 from loomspan.llm.spans import op9_sentence_spans
+from loomspan.llm.topk import SQL as TOPK_SQL
+from loomspan.llm.topk import op3_kdtree_topk
 
 QUERIES = {
     "op1_language": op1_language,
+    "op3_kdtree_topk": op3_kdtree_topk,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
@@ -18,4 +21,6 @@ QUERIES = {
     "op9_sentence_spans": op9_sentence_spans,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_kdtree_topk": TOPK_SQL,
+}
