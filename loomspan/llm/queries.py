@@ -6,6 +6,7 @@ from loomspan.llm.lines import op8_line_dedup
 from loomspan.llm.mixing import op7_source_mix
 from loomspan.llm.packing import op5_packing
 from loomspan.llm.quality import op6_quality
+from loomspan.llm.runlength import op10_repeats
 from loomspan.llm.spans import op9_sentence_spans
 from loomspan.llm.topk import SQL as TOPK_SQL
 from loomspan.llm.topk import op3_kdtree_topk
@@ -19,6 +20,7 @@ QUERIES = {
     "op7_source_mix": op7_source_mix,
     "op8_line_dedup": op8_line_dedup,
     "op9_sentence_spans": op9_sentence_spans,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLE_SQL: dict[str, str] = {
