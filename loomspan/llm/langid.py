@@ -92,13 +92,13 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, features: int, epochs: int = EPOCHS) -> np.ndarray:
+def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, features: int, epochs: int = EPOCHS, l1: float = L1) -> np.ndarray:
     """FTRL-proximal with elastic net on sparse rows (places, values, class); the last place is the bias."""
     z, n = np.zeros((features + 1, classes)), np.zeros((features + 1, classes))
 
     def weights(at):
         za, na = z[at], n[at]
-        shrunk = np.sign(za) * np.maximum(np.abs(za) - L1, 0)
+        shrunk = np.sign(za) * np.maximum(np.abs(za) - l1, 0)
         return -shrunk / ((BETA + np.sqrt(na)) / ALPHA + L2)
 
     order = np.random.default_rng(7)

@@ -2,6 +2,7 @@
 
 from loomspan.llm.jaccard import op4_jaccard_join
 from loomspan.llm.langid import op1_language
+from loomspan.llm.licences import op2_licences
 from loomspan.llm.lines import op8_line_dedup
 from loomspan.llm.mixing import op7_source_mix
 from loomspan.llm.packing import op5_packing
@@ -13,6 +14,7 @@ from loomspan.llm.topk import op3_kdtree_topk
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_licences": op2_licences,
     "op3_kdtree_topk": op3_kdtree_topk,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_packing": op5_packing,
@@ -24,5 +26,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_licences": op2_licences,
     "op3_kdtree_topk": TOPK_SQL,
 }
