@@ -128,8 +128,9 @@ def train(variants: int = VARIANTS) -> Model:
                 kept = [w for w in words if len(words) < 8 or v == 0 or rng.random() > 0.1]
                 around = [rng.choice(common) for _ in range(rng.randint(0, 4))] if v % 3 == 2 else []
                 samples.append((foreign() + around + kept + foreign() if v else kept, i))
-                piece = rng.randint(0, max(0, len(words) - 2))
-                samples.append((foreign() + words[piece : piece + 2] + foreign(), len(families) - 1))
+                if len(words) > 4:
+                    piece = rng.randint(0, len(words) - 2)
+                    samples.append((foreign() + words[piece : piece + 2] + foreign(), len(families) - 1))
     for sentence in ORDINARY:
         for _ in range(variants):
             samples.append((foreign() + words_of(sentence) + foreign(), len(families) - 1))
