@@ -9,7 +9,7 @@
    with, which joins large groups of near copies by as many comparisons as they have members. Tiles whose classes are all
    joined by then are done. The others are compared all with all but within a group, in size bands: hashed bitmaps bound
    the overlap from above by the bits that one has and the other has not; what the bound allows is decided exactly, on
-   sorted arrays. Large tiles are dealt out as a grid of pairs of blocks.
+   sorted arrays, until all that is similar hangs together. So a tile gives fewer links than members. Large tiles are dealt out as a grid of pairs of blocks.
 5. Components of the links, each named by its smallest id.
 
 Nulls: a text that is null or has no word has an empty set and is linked with nothing; a row without an id takes no part
@@ -57,16 +57,15 @@ def _sets(words):
         import pyarrow as pa
 
         for batch in batches:
-            n, f1, f2, bits = [], [], [], []
+            n, f1, f2 = [], [], []
             for text in _raw(batch, "text"):
                 x = shingle_set(text.as_py(), words)
                 digest = np.frombuffer(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), np.int64)
                 n.append(len(x))
                 f1.append(int(digest[0]))
                 f2.append(int(digest[1]))
-                bits.append(bitmap(x).tobytes() if len(x) else None)
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(bits, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "f1", "f2", "bits"])
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "f1", "f2"])
 
     return run
 
@@ -202,8 +201,16 @@ def _prefixes(percent):
     return run
 
 
+def _overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sorted arrays."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    return int((y[np.minimum(at, len(y) - 1)] == x).sum())
+
+
 def _within(percent):
-    """Pairs of different labels in a block that size and bit counts allow; one call holds one (key, i, j)."""
+    """Links that connect different labels in a block, no more than it takes to connect them; one call holds one (key, i, j)."""
 
     def folded(bits, words):
         return np.bitwise_or.reduce(bits.reshape(len(bits), -1, words), axis=1)
@@ -214,18 +221,20 @@ def _within(percent):
         table = table.sort_by([("n", "ascending"), ("doc", "ascending")])
         doc, n, label, side = (table.column(c).to_numpy() for c in ("doc", "n", "label", "side"))
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        raw = [np.frombuffer(x.as_py(), "<u8") for x in table.column("bits")]
+        sets = [np.frombuffer(x.as_py(), "<u8") for x in table.column("set")]
+        raw = [bitmap(x) for x in sets]
+        part = np.unique(label, return_inverse=True)[1]  # grows together as links are found
         words = np.array([len(x) for x in raw])
         groups = {w: np.flatnonzero(words == w) for w in np.unique(words)}
         stacked = {w: np.stack([raw[k] for k in at]) for w, at in groups.items()}
-        found = []
+        a, b = [], []
         for w, at in groups.items():
             for v, other in groups.items():
                 if v < w or v > 4 * w:
                     continue
                 theirs = folded(stacked[v], w)
                 for x, k in enumerate(at):
-                    near = (n[other] * percent <= n[k] * 100) & (n[k] * percent <= n[other] * 100) & (label[other] != label[k])
+                    near = (n[other] * percent <= n[k] * 100) & (n[k] * percent <= n[other] * 100) & (part[other] != part[k])
                     near &= (other > k) if v == w else True
                     near &= (side[other] != side[k]) if i != j else True
                     y = np.flatnonzero(near)
@@ -235,9 +244,15 @@ def _within(percent):
                     only = np.bitwise_count(mine & ~theirs[y]).sum(1)  # at least so many elements are in k alone
                     extra = np.bitwise_count(theirs[y] & ~mine).sum(1)
                     most = np.minimum(n[k] - only, n[other[y]] - extra)
-                    y = y[100 * most >= percent * (n[k] + n[other[y]] - most)]
-                    found.extend((min(doc[k], d), max(doc[k], d)) for d in doc[other[y]])
-        a, b = zip(*found, strict=True) if found else ((), ())
+                    y = other[y[100 * most >= percent * (n[k] + n[other[y]] - most)]]
+                    while len(y):
+                        if similar(_overlap(sets[k], sets[y[0]]), int(n[k]), int(n[y[0]]), percent):
+                            a.append(int(doc[k]))
+                            b.append(int(doc[y[0]]))
+                            part[part == part[y[0]]] = part[k]
+                            y = y[part[y] != part[k]]
+                        else:
+                            y = y[1:]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
@@ -251,11 +266,7 @@ def _exact(percent):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8")
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                overlap = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                keep.append(similar(overlap, len(x), len(y), percent))
+                keep.append(similar(_overlap(x, y), len(x), len(y), percent))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -268,9 +279,8 @@ def _only(documents: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return out if hinted is not ids else out.sortWithinPartitions("doc_id")
 
 
-def verified(pairs: DataFrame, documents: DataFrame, scratch: Scratch, words: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are similar, decided on sorted arrays."""
-    ids = scratch.table(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+def sets_of(ids: DataFrame, documents: DataFrame, words: int) -> DataFrame:
+    """doc, set (sorted array as bytes) of the documents with these ids (doc_id)."""
 
     def run(batches):
         import pyarrow as pa
@@ -279,7 +289,13 @@ def verified(pairs: DataFrame, documents: DataFrame, scratch: Scratch, words: in
             sets = [shingle_set(t.as_py(), words).astype("<u8").tobytes() for t in _raw(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["doc", "set"])
 
-    sets = _only(documents, ids, "left_semi").mapInArrow(run, "doc long, set binary")
+    return _only(documents, ids, "left_semi").mapInArrow(run, "doc long, set binary")
+
+
+def verified(pairs: DataFrame, documents: DataFrame, scratch: Scratch, words: int, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose sets are similar, decided on sorted arrays."""
+    ids = scratch.table(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+    sets = sets_of(ids, documents, words)
     own = [sets.withColumnsRenamed({"doc": x, "set": f"set_{x}"}) for x in "ab"]
     joined = pairs.join(own[0], "a").join(own[1], "b").select("a", "b", "set_a", "set_b")
     return joined.mapInArrow(_exact(percent), "a long, b long").distinct()
@@ -291,7 +307,7 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     ship(spark)
     scratch = Scratch(spark, "jaccard")
     docs = with_columns(documents, {"doc_id": "long", "text": "string"})
-    sets = scratch.table(docs.mapInArrow(_sets(words), "doc_id long, n long, f1 long, f2 long, bits binary"))
+    sets = scratch.table(docs.mapInArrow(_sets(words), "doc_id long, n long, f1 long, f2 long"))
     named = sets.filter("doc_id is not null and n > 0")
     classes = scratch.table(named.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep")))
     with_rep = named.join(classes, ["f1", "f2", "n"])
@@ -317,14 +333,14 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     # Tiles of the same classes are one tile: told by their number and two sums of hashes.
     open_ = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("doc")).alias("x1"), F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("x2")).filter("lo <> hi")
     open_ = scratch.table(open_.groupBy("m", "x1", "x2").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    bits = classes.join(sets.select(F.col("doc_id").alias("rep"), "f1", "f2", "bits"), ["rep", "f1", "f2"]).groupBy("rep", "n").agg(F.first("bits").alias("bits"))
-    open_tiles = labelled.join(open_, "key").join(bits.withColumnsRenamed({"rep": "doc"}), ["doc", "n"])
+    open_tiles = scratch.table(labelled.join(open_, "key"))
+    ids = scratch.table(open_tiles.select(F.col("doc").alias("doc_id")).distinct())
+    firsts = sets_of(ids, docs.filter("doc_id is not null and text is not null"), words).withColumn("n", F.expr("cast(length(set) div 8 as long)")).distinct()
     side = F.pmod(F.xxhash64("doc", F.lit(2)), F.col("blocks")).cast("int")
-    grid = open_tiles.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    grid = grid.select("key", "doc", "n", "label", "bits", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
-    pairs = scratch.table(grid.groupBy("key", "i", "j").applyInArrow(_within(percent), "a long, b long").distinct())
-    more = scratch.table(verified(pairs, docs.filter("doc_id is not null and text is not null"), scratch, words, percent))
-    links = scratch.table(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(more).distinct())
+    grid = open_tiles.join(firsts, ["doc", "n"]).withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    grid = grid.select("key", "doc", "n", "label", "set", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+    more = scratch.table(grid.groupBy("key", "i", "j").applyInArrow(_within(percent), "a long, b long").distinct())
+    links = scratch.table(links.union(more).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     roots = components(links, scratch)
     # Rows that share an id but not their text link its classes.
     shared_ids = with_rep.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).join(classes.select(F.col("rep").alias("a")), "a")
