@@ -259,7 +259,8 @@ def marked(documents: DataFrame, scratch: Scratch, length: int = LENGTH) -> Data
         cut = scratch.table(crowded.mapInArrow(_split(gram, length), "m long, c long, bytes binary, of_m long, of_c long, at int, inner boolean"))
         link = cut.select("m", "c", "of_m", "of_c", "at")
         if back is not None:
-            older = back.withColumnsRenamed({"m": "of_m", "c": "of_c", "of_m": "old_m", "of_c": "old_c", "at": "old_at"})
+            names = {"m": "of_m", "c": "of_c", "of_m": "old_m", "of_c": "old_c", "at": "old_at"}
+            older = back.select(*[F.col(old).alias(new) for old, new in names.items()])
             link = link.join(older, ["of_m", "of_c"]).select("m", "c", F.col("old_m").alias("of_m"), F.col("old_c").alias("of_c"), (F.col("at") + F.col("old_at")).alias("at"))
         back = scratch.table(link)
         parts = cut.groupBy("m", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.length("bytes")).alias("size"), F.max("inner").alias("inner"))
