@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -24,7 +25,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("loomspan.scratch", "")
     if not found:
-        if not (spark.sparkContext.master or "").startswith("local["):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master or ""):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="loomspan-")
         spark.conf.set("loomspan.scratch", found)
