@@ -6,6 +6,7 @@ import gc
 import os
 import re
 import tempfile
+import time
 import uuid
 import zipfile
 
@@ -60,15 +61,18 @@ class Scratch:
     def table(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{self.made}"
         self.made += 1
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
 
     def settle(self) -> None:
-        """Let go of shuffle files that only finished steps have read; the JVM finds them when it collects garbage."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        """Let go of shuffle files that only finished steps have read: the JVM finds them when it collects garbage, and
+        deletes them a moment later."""
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)
 
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables that nothing reads any more."""
