@@ -26,6 +26,5 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op2_licences": op2_licences,
     "op3_kdtree_topk": TOPK_SQL,
 }
