@@ -57,6 +57,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/loomspan/{name}-{uuid.uuid4().hex}"
         self.made = 0
+        self.tables: list[DataFrame] = []
 
     def table(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{self.made}"
@@ -64,6 +65,7 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
+        self.tables.append(out)
         return out
 
     def settle(self) -> None:
@@ -81,6 +83,13 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(table._scratch_path)
             path.getFileSystem(conf).delete(path, True)
 
+    def release(self, *kept: DataFrame) -> None:
+        """Delete every table but those, and let go of finished shuffles: for the last step, which reads nothing else."""
+        stay = {table._scratch_path for table in kept}
+        self.drop(*[table for table in self.tables if table._scratch_path not in stay])
+        self.tables = list(kept)
+        self.settle()
+
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if its row count allows it; beyond that Spark joins by shuffle."""

@@ -145,10 +145,25 @@ def test_simhash_of_long_lines(spark):
 
     texts = [prose(i, n) for i, n in enumerate((1, 2, 60, 255, 256, 700))]
     got = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("k", F.xxhash64("t"))
-    sims = {r.k: r.sim for r in lines._sims(got.select("k", F.size(F.split("t", " ")).alias("n"), F.col("t").alias("norm"))).collect()}
+    sims = {r.k: r.sim for r in lines.simhashes(got.select("k", F.size(F.split("t", " ")).alias("n"), F.col("t").alias("norm"))).collect()}
     assert all(sims[r.k] == py_simhash(r.t.split(" ")) for r in got.collect())
 
 
+def test_edit_distance_of_long_lines(spark):
+    rng, rows = random.Random(5), []
+    for i in range(60):
+        a = prose(i, rng.choice((3, 120, 300))).split(" ")
+        b = list(a)
+        for _ in range(rng.choice((0, 1, 3, 20))):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.choice((0, 1, 1))] = [] if rng.random() < 0.3 and len(b) > 2 else ["new" + str(at)]
+        rows.append((i, i, " ".join(a), " ".join(b), rng.choice((0, 1, 5, 30, 150))))
+    pairs = spark.createDataFrame(rows, "a long, b long, norm_a string, norm_b string, most int")
+    plain = {r.a: r.close for r in pairs.selectExpr("a", "levenshtein(norm_a, norm_b) <= most as close").collect()}
+    got = {r.a: r.close for r in lines._judged(pairs).collect()}
+    assert got == plain and len(set(got.values())) == 2
+
+
 def test_fuzzy_lines_odd_rows(spark):
     rows = lines.dedup_lines(odd(spark)).collect()
     assert len(rows) == len(odd_rows())
