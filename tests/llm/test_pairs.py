@@ -172,3 +172,26 @@ def test_fuzzy_lines_odd_rows(spark):
     assert [r.n_removed for r in rows if r.doc_id == 9] == [0, 0]
     assert set(odd(spark).columns) <= set(rows[0].asDict())
     assert lines.dedup_lines(none(spark)).count() == 0
+
+
+def test_short_lines_with_typos(spark):
+    """Of pairs that differ by single letters, at most as many as the similarity allows, all but a tenth are found."""
+    rng, rows, wanted = random.Random(8), [], {}
+    for n in (6, 8, 10, 15, 20):
+        for i in range(100):
+            line = " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(4, 8))) for _ in range(n))
+            most = int(0.1 * len(line) + 1e-9)
+            edits = 1 if i % 2 else rng.randint(1, most)
+            other = list(line)
+            for _ in range(edits):
+                at = rng.randrange(len(other))
+                other[at : at + 1] = rng.choice(("", "q", "q" + other[at]))
+            other = " ".join("".join(other).split())
+            if other != line and distance(line, other) <= 0.1 * max(len(line), len(other)) + 1e-9:
+                wanted[len(rows) + 1] = (n, i % 2)
+                rows += [(len(rows), line), (len(rows) + 1, other)]
+    got = {r.doc_id: r.n_removed for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), by_words=True).collect()}
+    assert not any(got[i] for i in got if i not in wanted)
+    share = {kind: [got[i] for i in wanted if wanted[i] == kind] for kind in set(wanted.values())}
+    print({k: (sum(v), len(v)) for k, v in sorted(share.items())})
+    assert all(sum(v) >= 0.9 * len(v) for v in share.values()), {k: (sum(v), len(v)) for k, v in sorted(share.items())}
