@@ -1,7 +1,8 @@
 """Licence scans: a trained paragraph classifier, confirmed by comparison with templates.
 
 A paragraph is a line; one of more than ``WINDOW`` words is read in windows that overlap by half, so that nothing is left
-out. Its distinct word 1- to 3-grams, hashed to ``FEATURES`` places, go through a sparse multinomial logistic regression
+out. Lines without a blank one between them are then read together, for notices that are wrapped: what is confirmed there and in
+none of the lines is added, as of the first of them. Its distinct word 1- to 3-grams, hashed to ``FEATURES`` places, go through a sparse multinomial logistic regression
 (follow-the-regularised-leader with elastic net) over licence families and ``unknown``. It is trained here on variants of
 the templates below (words dropped, foreign words around) and, as unknown, on ordinary sentences and on pieces of
 templates too short to mean a licence. A held-out part fits the temperature and then the least score of a licence: the
@@ -107,12 +108,15 @@ def _pairs(words: list[str]) -> set[tuple[str, str]]:
 
 
 _TEMPLATE_PAIRS = {family: [_pairs(words_of(t)) for t in texts] for family, texts in TEMPLATES.items()}
+#: Words with a digit of each template.
+_VERSIONS = {family: [{w for w in words_of(t) if re.search("[0-9]", w)} for t in texts] for family, texts in TEMPLATES.items()}
+_ALL_PAIRS = set().union(*[t for texts in _TEMPLATE_PAIRS.values() for t in texts])
 
 
 def coverage(words: list[str], family: str) -> float:
-    """The largest share of a template's word pairs that stand in the paragraph."""
-    own = _pairs(words)
-    return max(len(t & own) / len(t) for t in _TEMPLATE_PAIRS[family])
+    """The largest share of a template's word pairs that stand in the paragraph; a template with a version counts only if that is there."""
+    own, there = _pairs(words), set(words)
+    return max(len(t & own) / len(t) if v <= there else 0.0 for t, v in zip(_TEMPLATE_PAIRS[family], _VERSIONS[family], strict=True))
 
 
 def train(variants: int = VARIANTS) -> Model:
@@ -146,25 +150,49 @@ def train(variants: int = VARIANTS) -> Model:
     return Model(families, weights.astype(np.float32), float(temperature), max(0.5, float(others[int(FALSE_SHARE * len(others))]) + 1e-9))
 
 
+def _labels(words: list[str], model: Model, known: np.ndarray) -> dict[str, tuple[float, bool]]:
+    """Families of the windows of some words: the best score, and whether that window is confirmed."""
+    step = WINDOW // 2
+    best = {}
+    for at in range(0, max(1, len(words) - step), step):
+        part = words[at : at + WINDOW]
+        places = places_of(part)
+        if not known[places[:-1]].any():
+            continue
+        p = _softmax(model.weights[places].sum(0, dtype=np.float64) / model.temperature)
+        i = int(p[:-1].argmax())
+        if p[i] >= model.least and p[i] > best.get(model.families[i], (0,))[0]:
+            best[model.families[i]] = (float(p[i]), coverage(part, model.families[i]) >= COVERAGE)
+    return best
+
+
+def _wrapped(text: str, block: list[tuple[int, int, int]], found: list[dict], model: Model, known: np.ndarray) -> list[dict]:
+    """Confirmed licences of lines (number, a, b) read together that no line of them confirms. A hyphen at a line's end joins."""
+    if len(block) < 2:
+        return []
+    words = words_of(re.sub(r"(?<=\w)-[ \t\r]*\n[ \t]*", "-", text[block[0][1] : block[-1][2]]))
+    own = _pairs(words) & _ALL_PAIRS
+    # No window can be confirmed if all of the words can't.
+    if not any(len(t & own) >= COVERAGE * len(t) for texts in _TEMPLATE_PAIRS.values() for t in texts):
+        return []
+    sure = {f["family"] for f in found if f["confirmed"] and f["paragraph"] >= block[0][0]}
+    return [{"paragraph": block[0][0], "family": f, "score": s, "confirmed": True, "a": block[0][1], "b": block[-1][2]} for f, (s, c) in sorted(_labels(words, model, known).items()) if c and f not in sure]
+
+
 def scan_text(text: str, model: Model, known: np.ndarray) -> tuple[int, list[dict]]:
     """Number of paragraphs, and the licences found: paragraph, family, score, confirmed, a, b (characters). known: places with any weight."""
-    found, n, start = [], 0, 0
+    found, n, start, block = [], 0, 0, []
     for number, line in enumerate(text.split("\n")):
         words = words_of(line)
         n += bool(line.strip())
-        step = WINDOW // 2
-        best = {}
-        for at in range(0, max(1, len(words) - step), step):
-            part = words[at : at + WINDOW]
-            places = places_of(part)
-            if not known[places[:-1]].any():
-                continue
-            p = _softmax(model.weights[places].sum(0, dtype=np.float64) / model.temperature)
-            i = int(p[:-1].argmax())
-            if p[i] >= model.least and p[i] > best.get(model.families[i], (0,))[0]:
-                best[model.families[i]] = (float(p[i]), coverage(part, model.families[i]) >= COVERAGE)
-        found += [{"paragraph": number, "family": f, "score": s, "confirmed": c, "a": start, "b": start + len(line)} for f, (s, c) in sorted(best.items())]
+        found += [{"paragraph": number, "family": f, "score": s, "confirmed": c, "a": start, "b": start + len(line)} for f, (s, c) in sorted(_labels(words, model, known).items())]
+        if line.strip():
+            block.append((number, start, start + len(line)))
+        elif block:
+            found += _wrapped(text, block, found, model, known)
+            block = []
         start += len(line) + 1
+    found += _wrapped(text, block, found, model, known) if block else []
     return n, found
 
 

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -65,6 +66,17 @@ def test_licence_deep_in_a_long_line(model):
     assert [f["family"] for f in licences.scan_text(text, model, known)[1]] == ["Apache-2.0"]
 
 
+@pytest.mark.parametrize("width", [70, 74, 78, 80])
+def test_wrapped_licences(model, width):
+    known = np.abs(model.weights).sum(1) > 0
+    for family, notices in licences.TEMPLATES.items():
+        for notice in notices:
+            text = prose(3, 90) + "\n\n" + "\n".join(textwrap.wrap(notice, width)) + "\n\n" + prose(4, 20)
+            found = [f for f in licences.scan_text(text, model, known)[1] if f["confirmed"]]
+            assert [f["family"] for f in found] == [family], notice
+            assert found[0]["paragraph"] >= 2
+
+
 def test_licences_odd_rows(spark, model):
     found = licences.scan(odd(spark), model).collect()
     assert len(found) == len(odd_rows()) and not any(r.found for r in found)
