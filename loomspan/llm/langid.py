@@ -19,11 +19,13 @@ from collections import namedtuple
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from loomspan.llm.scratch import ship, with_columns
 
 FEATURES, GRAMS = 1 << 16, 3
 SAMPLE_ROWS = 2400
+MOST_LANGS = 1000
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 1.0, 1.0, 2e-4, 1e-3
 #: Values are shares of a text, so small; this brings them to the size that the penalties are set for.
 SCALE = 30.0
@@ -115,14 +117,21 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, featu
     return weights(np.arange(features + 1))
 
 
-def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """labelled: doc_id, lang, text. Learns from all of them the document frequencies, from a bounded sample the weights."""
+def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, most_langs: int = MOST_LANGS) -> Model:
+    """labelled: doc_id, lang, text. Learns from all of them the document frequencies, from a bounded sample the weights:
+    about ``sample_rows`` rows, or four of each language if that is more. The weights take ``FEATURES`` numbers a language, on the
+    driver and on every worker, so more than ``most_langs`` languages are refused rather than dropped. Without labelled rows that
+    have a letter there is nothing to learn, and every prediction is ``und``."""
     ship(labelled.sparkSession)
     labelled = labelled.filter("lang is not null and text is not null")
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample_rows // 4).collect()}
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs + 1).collect()}
     langs = list(sizes)
+    nothing = Model([], np.zeros((FEATURES, 1), np.float32), np.zeros(1), 1.0)
     if not langs:
-        return Model([], np.zeros((FEATURES, 1), np.float32), np.zeros(1), 1.0)
+        return nothing
+    if len(langs) > most_langs:
+        raise ValueError(f"more than {most_langs} languages: join rare ones, or raise most_langs")
+    sample_rows = max(sample_rows, 4 * len(langs))
     # A threshold on the hash takes about as many rows of each language; the limit then bounds what reaches the driver.
     share = sample_rows // len(langs)
     unit = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
@@ -138,6 +147,8 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     for r in sorted(sample, key=lambda r: (bytes(r["places"]), bytes(r["counts"]), r["lang"])):
         at, n = np.frombuffer(r["places"], np.int32), np.frombuffer(r["counts"], np.int32)
         rows.append((np.append(at, FEATURES), np.append(SCALE * n / n.sum() * idf[at], 1.0), index[r["lang"]]))
+    if not rows:
+        return nothing
     held, kept = rows[::5], [r for i, r in enumerate(rows) if i % 5]
     w = fit_ftrl(kept or rows, len(langs), FEATURES)
     logits, right = np.array([x @ w[at] for at, x, _ in held]), np.array([y for *_, y in held])
@@ -178,7 +189,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
                 scores.append(float(p[best]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields) + ", lang_pred string, score double"
+    schema = StructType([*documents.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return documents.mapInArrow(run, schema)
 
 

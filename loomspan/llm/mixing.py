@@ -71,7 +71,7 @@ def _rated(docs: DataFrame, solved: DataFrame, cap: float) -> DataFrame:
     out = docs.join(small(solved.withColumnRenamed("source", "own")), F.col("source").eqNullSafe(F.col("own"))).drop("own")
     bound = F.when(F.col("target") > 0, F.lit(float(cap))).otherwise(F.lit(0.0))
     rate = F.when(F.col("lam").isNull(), bound).otherwise(F.round(F.least(F.lit(float(cap)), F.exp(F.col("lam") * F.col("size") / F.col("mean"))), 9))
-    u = F.pmod(F.xxhash64("doc_id", "size"), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    u = F.pmod(F.xxhash64("doc_id", "size", *[c for c in ("mark",) if c in docs.columns]), F.lit(1 << 32)) / F.lit(float(1 << 32))
     return out.withColumn("rate", rate).withColumn("u", u)
 
 
@@ -96,8 +96,9 @@ def solve(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = C
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """docs: doc_id, source, size (long). Returns each with source_size, target, rate and copies (0 to ``cap``)."""
-    docs = Scratch(docs.sparkSession, "sizes").table(with_columns(docs, {"doc_id": "long", "source": "string", "size": "long"}))
+    """docs: doc_id, source, size (long), and mark, a hash of whatever else tells rows apart (null if absent): rows that agree in
+    id, size and mark are rounded alike. Returns each with source_size, target, rate and copies (0 to ``cap``)."""
+    docs = Scratch(docs.sparkSession, "sizes").table(with_columns(docs, {"doc_id": "long", "source": "string", "size": "long"} | ({"mark": "long"} if "mark" in docs.columns else {})))
     out = _rated(docs, solve(docs, weights, share, cap), cap)
     return out.select("doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), F.col("target").cast("double").alias("target"), "rate", _copies(F.col("shift")).alias("copies"))
 
@@ -112,7 +113,7 @@ def mix_documents(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, c
 
 
 def _sizes() -> dict[str, Column]:
-    return {"doc_id": F.col("doc_id").cast("long"), "source": F.col("source").cast("string"), "size": word_count(F.col("text"))}
+    return {"doc_id": F.col("doc_id").cast("long"), "source": F.col("source").cast("string"), "size": word_count(F.col("text")), "mark": F.xxhash64(F.col("text"))}
 
 
 def op7_source_mix(spark, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ a null id is kept as it is. No rows give no rows.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -68,7 +69,7 @@ def encoder(path: str):
     encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     words = WordIds(encode)
 
-    def ids(text: str) -> bytes:
+    def plain_ids(text: str) -> bytes:
         first, *rest = text.split(" ")
         if rest and first and not first[-1].isspace():
             try:
@@ -77,6 +78,18 @@ def encoder(path: str):
                 pass
         return np.array(encode(text), "<u4").tobytes()
 
+    # Added tokens are cut out of the text first, the longest at each place, as the library does by default.
+    added = {x["content"]: np.array([x["id"]], "<u4").tobytes() for x in model.get("added_tokens", [])}
+    if any(x.get(flag) for x in model.get("added_tokens", []) for flag in ("lstrip", "rstrip", "single_word")):
+        raise ValueError("added tokens that take in what stands beside them are not supported")
+    if not added:
+        return plain_ids
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def ids(text: str) -> bytes:
+        parts = cut.split(text)
+        return plain_ids(text) if len(parts) == 1 else b"".join(added[p] if i % 2 else plain_ids(p) for i, p in enumerate(parts) if p)
+
     return ids
 
 

@@ -293,7 +293,9 @@ def _index(texts: DataFrame, scratch: Scratch, length: int) -> DataFrame:
     total = texts.agg(F.sum(F.length("bytes"))).first()[0] or 0
     groups = max(64, -(-total // GROUP_BYTES))
     grouped = texts.withColumn("part", F.pmod(F.xxhash64("m"), F.lit(groups)))
-    return scratch.table(grouped.groupBy("part").applyInArrow(_indexed(length), "m long, c long, a int, b int"))
+    # By number, as each byte takes far longer here than it took to shuffle, so small partitions must not be put together.
+    tasks = int(min(groups, max(256, 8 * scratch.spark.sparkContext.defaultParallelism)))
+    return scratch.table(grouped.repartition(tasks, "part").groupBy("part").applyInArrow(_indexed(length), "m long, c long, a int, b int"))
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, keep: bool = False) -> DataFrame:

@@ -87,7 +87,6 @@ def check_packing(rows, placed, max_len=1024):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
-    tokenizer.encode_special_tokens = True
     wanted = []
     for i, text in rows:
         ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
@@ -123,7 +122,6 @@ def test_ids_equal_the_library(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
-    tokenizer.encode_special_tokens = True
     rng = random.Random(2)
     ids = packing.encoder(packing.default_tokenizer())
     for _ in range(400):
