@@ -68,15 +68,15 @@ def first_match_lookup(spark, sf_dir):
     return R.first_match(table(spark, sf_dir, "customer").select("c_custkey"), orders, ["c_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderkey", "o_orderstatus"])
 
 
-@query("""WITH c AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_linenumber > 4),
+@query("""WITH c AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R'),
   n AS (SELECT l_partkey, count(*) AS n, min(l_suppkey) AS sole FROM c GROUP BY 1)
   SELECT l.l_orderkey, l.l_partkey, CASE WHEN c.l_suppkey IS NOT NULL THEN 'exact' WHEN n.n = 1 THEN 'sole' WHEN n.n > 1 THEN 'ambiguous' ELSE 'missing' END AS resolution,
   coalesce(c.l_suppkey, CASE WHEN n.n = 1 THEN n.sole END) AS resolved, CAST(coalesce(n.n, 0) AS BIGINT) AS n_candidates
-  FROM lineitem l LEFT JOIN n ON n.l_partkey = l.l_partkey LEFT JOIN c ON c.l_partkey = l.l_partkey AND c.l_suppkey = l.l_suppkey WHERE l.l_linenumber = 1""")
+  FROM lineitem l LEFT JOIN n ON n.l_partkey = l.l_partkey LEFT JOIN c ON c.l_partkey = l.l_partkey AND c.l_suppkey = l.l_suppkey""")
 def source_cascade(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    rows = lines.filter("l_linenumber = 1").select("l_orderkey", "l_partkey", F.col("l_suppkey").alias("hint"))
-    candidates = lines.filter("l_linenumber > 4").select("l_partkey", "l_suppkey").distinct()
+    rows = lines.select("l_orderkey", "l_partkey", F.col("l_suppkey").alias("hint"))
+    candidates = lines.filter("l_returnflag = 'R'").select("l_partkey", "l_suppkey").distinct()
     return R.resolve_source(rows, candidates, ["l_partkey"], "hint", "l_suppkey").drop("hint")
 
 
@@ -91,9 +91,9 @@ def anti_uncovered(spark, sf_dir):
 
 
 @query("""SELECT CASE WHEN o_orderkey IS NULL THEN 'unknown' WHEN o_orderstatus IS NOT DISTINCT FROM l_linestatus THEN 'same' ELSE 'different' END AS identity, count(*) AS n
-  FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 7 <> 0) ON o_orderkey = l_orderkey GROUP BY 1""")
+  FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus <> 'P' GROUP BY 1""")
 def identity_check(spark, sf_dir):
-    orders, lines = table(spark, sf_dir, "orders").filter("o_orderkey % 7 <> 0"), table(spark, sf_dir, "lineitem")
+    orders, lines = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'"), table(spark, sf_dir, "lineitem")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left")
     same = F.struct(F.col("o_orderstatus").alias("status")).eqNullSafe(F.struct(F.col("l_linestatus").alias("status")))
     identity = F.when(F.col("o_orderkey").isNull(), "unknown").when(same, "same").otherwise("different")
@@ -135,10 +135,10 @@ def spatial_theta(spark, sf_dir):
     return R.first_in_range(left, right, ["user_id"], near, ["event_id"], ["at", "hit"], ["hit"]).select("event_id", "hit")
 
 
-@query("""SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN substr(text, 1, 20) END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role, text
+@query("""SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role, text
   ROWS UNBOUNDED PRECEDING) AS asked FROM conversations""")
 def fill_down(spark, sf_dir):
-    asked = F.when(F.col("role") == "user", F.substring("text", 1, 20))
+    asked = F.when(F.col("role") == "user", F.col("text"))
     return R.fill_down(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn", "role", "text"], asked, "asked").select("conv_id", "turn", "asked")
 
 
@@ -343,11 +343,11 @@ def fuzzy_groups(spark, sf_dir):
     return clusters.fuzzy_groups(names)
 
 
-@query("""SELECT doc_id, trim(regexp_replace(regexp_replace(replace(replace(lower(substr(text, 1, 400)), '!!', '!'), 'th', 'z'), '[^a-z0-9! ]+', ' ', 'g'), ' +', ' ', 'g')) AS clean FROM documents""")
+@query("""SELECT doc_id, trim(regexp_replace(regexp_replace(replace(replace(lower(text), '!!', '!'), 'th', 'z'), '[^a-z0-9! ]+', ' ', 'g'), ' +', ' ', 'g')) AS clean FROM documents""")
 def normalize_text(spark, sf_dir):
     from loomspan.functions.text import replaced
 
-    text = replaced(F.lower(F.substring("text", 1, 400)), [("!!", "!"), ("th", "z")])
+    text = replaced(F.lower("text"), [("!!", "!"), ("th", "z")])
     return table(spark, sf_dir, "documents").select("doc_id", F.trim(F.regexp_replace(F.regexp_replace(text, "[^a-z0-9! ]+", " "), " +", " ")).alias("clean"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zipfile
 from collections.abc import Iterable, Iterator, Sequence
+from decimal import Decimal
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
@@ -58,8 +59,9 @@ def read_rows(path: str, sheet: str | None = None) -> Iterator[tuple[int, list[s
                     else:
                         text = "" if value is None else value.text or ""
                         text = shared[int(text)] if kind == "s" and text else text
-                        if kind in (None, "n") and re.fullmatch(r"-?\d+\.0+|-?\d+(\.\d+)?[eE]\+?\d+", text):
-                            text = str(int(float(text)))  # a long number stays its digits
+                        if kind in (None, "n") and re.fullmatch(r"-?\d+\.0+|-?\d+(\.\d+)?[eE]\+?\d{1,3}", text):
+                            exact = Decimal(text)  # a long number stays its digits, a part is never cut off
+                            text = str(int(exact)) if exact == exact.to_integral_value() else format(exact, "f")
                     cells += [""] * (at + 1 - len(cells))
                     cells[at] = text
                 if any(cells):
