@@ -354,3 +354,16 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
 
 def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: All pairs that share a shingle, and everything that links reach.
+SQL = r"""WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  grams AS (SELECT DISTINCT doc_id, hash_of AS g FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS hash_of FROM words)),
+  sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY 1),
+  common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_have FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+  links AS (SELECT a, b FROM common JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 100 * both_have >= 80 * (s.n + t.n - both_have)),
+  edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+  reached AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reached r JOIN edges e ON r.b = e.a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.least_id, d.doc_id)) AS component_id FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+  LEFT JOIN (SELECT a, min(b) AS least_id FROM reached GROUP BY 1) m ON m.a = d.doc_id"""

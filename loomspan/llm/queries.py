@@ -1,5 +1,6 @@
 """The queries of this subpackage: name -> callable(spark, sf_dir), and the SQL of those that SQL can express."""
 
+from loomspan.llm.jaccard import SQL as JACCARD_SQL
 from loomspan.llm.jaccard import op4_jaccard_join
 from loomspan.llm.langid import op1_language
 from loomspan.llm.licences import op2_licences
@@ -7,6 +8,7 @@ from loomspan.llm.lines import op8_line_dedup
 from loomspan.llm.mixing import op7_source_mix
 from loomspan.llm.packing import op5_packing
 from loomspan.llm.quality import op6_quality
+from loomspan.llm.runlength import SQL as REPEATS_SQL
 from loomspan.llm.runlength import op10_repeats
 from loomspan.llm.spans import op9_sentence_spans
 from loomspan.llm.topk import SQL as TOPK_SQL
@@ -27,4 +29,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_kdtree_topk": TOPK_SQL,
+    "op4_jaccard_join": JACCARD_SQL,
+    "op10_repeats": REPEATS_SQL,
 }

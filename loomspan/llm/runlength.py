@@ -339,3 +339,16 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, keep: bool = Fals
 
 def op10_repeats(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: Every 400-byte string of every text as hexadecimal digits, cut from blocks, as reaching far into a long text takes time.
+SQL = r"""WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+  blocks AS (SELECT doc_id, pos, substr(h, 2 * pos + 1, 2 * (512 + 399)) AS piece FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 399, 512)) AS pos FROM texts)),
+  starts AS (SELECT doc_id, pos + i AS s, hash(substr(piece, 2 * i + 1, 800)) AS k FROM (SELECT doc_id, pos, piece, unnest(range(0, len(piece) // 2 - 399)) AS i FROM blocks)),
+  twice AS (SELECT k FROM starts GROUP BY k HAVING count(*) > 1),
+  hits AS (SELECT doc_id, s, s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 400 AS apart FROM starts WHERE k IN (SELECT k FROM twice)),
+  runs AS (SELECT doc_id, min(s) AS a, max(s) + 400 AS b FROM (SELECT doc_id, s, sum(CAST(coalesce(apart, false) AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM hits) GROUP BY doc_id, run),
+  pieces AS (SELECT r.doc_id, r.a, r.b, substr(t.h, 2 * coalesce(lag(r.b) OVER w, 0) + 1, 2 * (r.a - coalesce(lag(r.b) OVER w, 0))) AS before, t.h FROM runs r JOIN texts t ON t.doc_id = r.doc_id WINDOW w AS (PARTITION BY r.doc_id ORDER BY r.a)),
+  cut AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, string_agg(before, '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept FROM pieces GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(t.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, t.h))) AS kept_sha256
+  FROM texts t LEFT JOIN cut ON cut.doc_id = t.doc_id"""
