@@ -108,6 +108,18 @@ def test_validation(spark):
     assert rows(validation.failure_reasons(spark.createDataFrame(list(failed), DOWNLOAD))) == [("SSLError", "1")]
 
 
+def test_each_rule_counts_its_own_rows(spark):
+    source, meta = ("id1", "u", "s", "c", "表", "2", "", "大货", "已解析"), ("u", "某检测中心", "有", "未发现", "x", "y", "2026-01-01", "已识别", "")
+    page = {"record_type": "报告信息/表格原文", "include": ""}
+    records = [GOOD, changed(raw_item=" "), changed(institution="机构名称待确认"), changed(**page, raw_row="1 | 甲醛 | GB/T 2912 | 合格"), changed(**page, raw_row="甲醛 合格"), changed(**page, url="x")]
+    records.append(changed(record_type="异常", source_relationship_id="id9", include="", process_status=""))
+    metadata = [meta, meta[:2] + ("有？",) + meta[3:], meta[:6] + ("", "未发现", ""), meta[:6] + ("", "未发现", "none printed"), meta[:5] + ("",) + meta[6:], ("u", "") + meta[2:]]
+    sources = [source, (None,) + source[1:], ("id3",) + source[1:8] + ("partial",)]
+    metrics = check(spark, records, sources, [("u", "ok", ""), ("w", "ok", "")], metadata)[0]
+    assert {r.rule.split()[0]: r.n for r in metrics.collect() if r.n} == {f"V-{i}": 1 for i in (1, 4, 8, 10, 11, 12, 13, 14, 16, 17, 18, 19, 20, 21)}
+    assert [r.n for r in check(spark, [], sources)[0].collect() if r.rule in ("V-22 records empty", "V-22 structured records empty")] == [1, 1]
+
+
 def test_grid_carry(spark):
     table = [["检测项目", "要求", "结果", "单项判定"], ["甲醛", "≤75", "20", "合格"], ["", "", "30", "合格"], ["成分", "", "", "符合"], ["羽绒", "", "83.9", ""], ["绒丝", "", "2", ""], ["色牢度", "≥3", "4-5", "不符合"]]
     got = grid.table_rows(spark.createDataFrame([("u", 1, "1", i, r) for i, r in enumerate(table)], "url string, page int, table string, row int, cells array<string>")).orderBy("row").collect()
