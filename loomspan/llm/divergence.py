@@ -3,7 +3,7 @@
 Tokens: the bytes of many texts lie in one buffer; a lookup table turns each byte into its lower-cased letter or a gap, and
 edges of letter runs are the boundaries. Slices are grouped by xxhash and each is compared with its group's first slice
 byte by byte, so a collision costs time and never a count. Counts per text are folded to counts per (lang, source) as sorted
-row-column numbers with ``reduceat``. A task sends each (lang, source, term) once a ``FLUSH``, already added up.
+row-column numbers with ``reduceat``. A task sends each (lang, source, term) once for ``PART_BYTES`` of text, already added up.
 
 All rows of a term of one language meet in one place by one shuffle; there sources are summed and the terms in fewer than
 ``KEPT_DOCS`` texts of the language go. What is left is written once. Pairs of sources are compared in buckets of terms: a
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from loomspan.llm.scratch import Scratch, ship, small, with_columns
 
 KEPT_DOCS, SMOOTH, UNIT, TOP = 30, 5, 1_000_000_000, 50
-#: Bytes of text that are tokenised at once, entries that a task holds before it sends them, bytes compared at once.
-PART_BYTES, FLUSH, COMPARE = 4_000_000, 200_000, 1_000_000
+#: Bytes of text that are tokenised and added up at once, and bytes that are compared at once.
+PART_BYTES, COMPARE = 8_000_000, 1_000_000
 #: Entries of a bucket of terms (more where there are many sources, up to the second), and sources a task takes as first of a pair.
 BUCKET_ROWS, MOST_BUCKET_ROWS, BLOCK = 8_192, 1_000_000, 256
 
@@ -106,33 +106,19 @@ def matrix(texts, rows: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray
 def _count(batches):
     import pyarrow as pa
 
-    held: dict[tuple, list[int]] = {}
-
-    def sent():
-        lang, source, term = ([k[i] for k in held] for i in range(3))
-        counts = [pa.array([v[i] for v in held.values()], pa.int64()) for i in range(2)]
-        term = pa.array(term, pa.binary()).cast(pa.string(), safe=False)
-        out = pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(source, pa.string()), term, *counts], ["lang", "source", "term", "n", "docs"])
-        held.clear()
-        return out
-
     for batch in batches:
         names = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
         number = {k: i for i, k in enumerate(dict.fromkeys(names))}
-        groups, rows = list(number), np.array([number[k] for k in names], np.int64)
+        lang, source = (pa.array([k[i] for k in number], pa.string()) for i in range(2))
+        rows = np.array([number[k] for k in names], np.int64)
         sizes = np.cumsum([0, *[v or 0 for v in batch.column(3).to_pylist()]])
         a = 0
         while a < len(names):
             b = max(a + 1, int(np.searchsorted(sizes, sizes[a] + PART_BYTES, "right")) - 1)
             terms, row, column, n, docs = matrix(batch.column(2).slice(a, b - a), rows[a:b])
-            for r, c, x, y in zip(row.tolist(), column.tolist(), n.tolist(), docs.tolist(), strict=True):
-                entry = held.setdefault((*groups[r], terms[c]), [0, 0])
-                entry[0] += x
-                entry[1] += y
-            if len(held) > FLUSH:
-                yield sent()
+            words = pa.array(terms, pa.binary()).cast(pa.string(), safe=False)
+            yield pa.RecordBatch.from_arrays([lang.take(pa.array(row)), source.take(pa.array(row)), words.take(pa.array(column)), pa.array(n), pa.array(docs)], ["lang", "source", "term", "n", "docs"])
             a = b
-    yield sent()
 
 
 def kept_counts(documents: DataFrame, kept_docs: int = KEPT_DOCS) -> DataFrame:

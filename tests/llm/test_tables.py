@@ -104,7 +104,7 @@ def test_audit_equals_plain_form(spark):
 def test_audit_in_small_parts(spark, monkeypatch):
     """Texts cut into many parts and buckets, sources into many blocks, give the same."""
     rows = _docs(2, 200)
-    for name, value in {"PART_BYTES": 50, "FLUSH": 10, "COMPARE": 7, "BUCKET_ROWS": 3, "MOST_BUCKET_ROWS": 5, "BLOCK": 2}.items():
+    for name, value in {"PART_BYTES": 50, "COMPARE": 7, "BUCKET_ROWS": 3, "MOST_BUCKET_ROWS": 5, "BLOCK": 2}.items():
         monkeypatch.setattr(divergence, name, value)
     # Tasks read the module anew, so what they do is also called here.
     groups, texts = np.zeros(len(rows), np.int64), __import__("pyarrow").array([r[2] for r in rows])
