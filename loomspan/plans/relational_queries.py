@@ -251,11 +251,13 @@ def url_parts(spark, sf_dir):
 @query("""SELECT p_partkey, CASE WHEN starts_with(p_name, 'small ') THEN 'small' WHEN starts_with(p_name, 'large ') THEN 'large' WHEN starts_with(p_name, 'red ') THEN 'red' ELSE p_name END AS parent,
   CASE WHEN regexp_matches(p_name, '^(small|large|red) ') THEN regexp_replace(p_name, '^(small|large|red) ', '') ELSE '' END AS child FROM part""")
 def item_parent_child(spark, sf_dir):
-    families = ["small", "large", "red"]
-    name = F.col("p_name")
-    parent = R.ordered_rules(name, [(f"^{x} ", x) for x in families])
-    child = F.when(parent.isNotNull(), F.regexp_replace(name, "^(small|large|red) ", "")).otherwise("")
-    return table(spark, sf_dir, "part").select("p_partkey", F.coalesce(parent, name).alias("parent"), child.alias("child"))
+    from loomspan.operators.rewrite import longest_beginning
+
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    families = spark.createDataFrame([(x, i, x) for i, x in enumerate(["small", "large", "red"])], "beginning string, place int, family string")
+    told = longest_beginning(part, "p_name", families, " ", ["family"])
+    inside = F.coalesce(F.col("rest") != "", F.lit(False))  # a name that is the family's alone has no child
+    return told.select("p_partkey", F.when(inside, F.col("family")).otherwise(F.col("p_name")).alias("parent"), F.when(inside, F.expr("substring(rest, 2)")).otherwise("").alias("child"))
 
 
 @query("""WITH c AS (SELECT l_orderkey, CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 2 ELSE 3 END AS priority, l_shipdate AS d FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-01-01')
