@@ -176,31 +176,6 @@ def stratified_sample(df: DataFrame, stratum: str, key: str, per_stratum: int, t
     return ranked.orderBy("_free", "turn", stratum).limit(total).drop("_hash", "_free")
 
 
-def greedy_unique_pick(df: DataFrame, group: str, key: str, order: str, excluded: Sequence = (), most: int = 10_000) -> DataFrame:
-    """One key for each group, in group order, none twice where that can be helped, preferably none excluded.
-
-    Each choice hangs on all before it, so it is made in one place: over the first keys of each group only, as many as
-    there are groups and one more, which is all that a group can need. More than ``most`` groups are refused."""
-    n = df.select(group).distinct().count()
-    if n > most:
-        raise ValueError(f"{n} groups; this sequential choice is meant for at most {most}")
-    keys = df.select(group, key, order).groupBy(group, key).agg(F.min(order).alias(order)).withColumn("_out", F.col(key).isin(list(excluded)))
-    ranked = keys.withColumn("_r", F.row_number().over(W.partitionBy(group).orderBy("_out", order, key))).filter(F.col("_r") <= n + 1)
-    used, chosen = set(), {}
-    for row in ranked.orderBy(group, "_r").collect():
-        g, k = row[group], row[key]
-        if g in chosen and chosen[g][1]:
-            continue
-        fresh = k not in used and not row["_out"]
-        if fresh:
-            used.add(k)
-        if fresh or g not in chosen:
-            chosen[g] = (k, fresh)
-    spark = df.sparkSession
-    schema = f"{group} {df.schema[group].dataType.simpleString()}, {key} {df.schema[key].dataType.simpleString()}, preferred boolean"
-    return spark.createDataFrame([(g, k, f) for g, (k, f) in chosen.items()], schema)
-
-
 def merge_manifests(df: DataFrame, key: Sequence[str], failed: Column, order: Sequence[str]) -> DataFrame:
     """One row of each key: the first that didn't fail, else the first."""
     return keep_first(df.withColumn("_failed", failed), key, ["_failed", *order]).drop("_failed")

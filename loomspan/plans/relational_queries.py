@@ -288,9 +288,17 @@ def stratified_sample(spark, sf_dir):
     return R.stratified_sample(table(spark, sf_dir, "customer"), "c_mktsegment", "c_custkey", 6, 25, "7").select("c_custkey", "c_mktsegment", "turn")
 
 
-@query()
+@query("""WITH RECURSIVE k AS (SELECT p_brand, p_name, min(p_partkey) AS o FROM part GROUP BY 1, 2), g AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) AS i FROM (SELECT DISTINCT p_brand FROM part)),
+  lists AS (SELECT i, g.p_brand, list(p_name ORDER BY o, p_name) AS names FROM g JOIN k ON k.p_brand = g.p_brand GROUP BY 1, 2),
+  walk AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS p_brand, CAST(NULL AS VARCHAR) AS p_name, CAST([] AS VARCHAR[]) AS used, false AS preferred
+    UNION ALL SELECT i, p_brand, p_name, list_append(used, p_name), preferred FROM (
+      SELECT l.i, l.p_brand, w.used, coalesce(list_filter(l.names, lambda n: NOT list_contains(w.used, n) AND n <> 'small ring')[1], list_filter(l.names, lambda n: NOT list_contains(w.used, n))[1], l.names[1]) AS p_name,
+        len(list_filter(l.names, lambda n: NOT list_contains(w.used, n) AND n <> 'small ring')) > 0 AS preferred FROM walk w JOIN lists l ON l.i = w.i + 1))
+  SELECT p_brand, p_name, preferred FROM walk WHERE i > 0""")
 def greedy_unique_pick(spark, sf_dir):
-    return R.greedy_unique_pick(table(spark, sf_dir, "part"), "p_brand", "p_name", "p_partkey", ["small ring"])
+    from loomspan.operators.matching import unique_picks
+
+    return unique_picks(table(spark, sf_dir, "part"), "p_brand", "p_name", "p_partkey", ["small ring"])
 
 
 @query("""SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus = 'F', o_orderkey) = 1""")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomspan.functions import text as T
-from loomspan.operators import clusters
+from loomspan.operators import clusters, matching
 from loomspan.operators import relational as R
 from loomspan.plans import relational_queries as Q
 from loomspan.streaming import resume
@@ -115,5 +115,5 @@ def test_seed_and_fuzzy_groups(spark):
 
 def test_greedy_pick_uses_a_key_once(spark):
     df = spark.createDataFrame([("g1", "a", 1), ("g1", "b", 2), ("g2", "a", 1), ("g2", "c", 3), ("g3", "a", 1), ("g4", "x", 1)], "g string, k string, o int")
-    got = {r.g: (r.k, r.preferred) for r in R.greedy_unique_pick(df, "g", "k", "o", ["x"]).collect()}
+    got = {r.g: (r.k, r.preferred) for r in matching.unique_picks(df, "g", "k", "o", ["x"]).collect()}
     assert got == {"g1": ("a", True), "g2": ("c", True), "g3": ("a", False), "g4": ("x", False)}
