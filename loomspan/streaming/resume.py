@@ -52,7 +52,10 @@ def upsert_stream(stream: DataFrame, key: str, identity: Sequence[str], read: Ca
     """Streaming form of keep_best: each micro-batch is merged into the table that ``read`` gives and ``write`` replaces."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        last = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), F.struct("n_rows", "status")).alias("_row")).select("_row.*")
-        write(keep_best(read(), last, key, identity))
+        good = F.col("status") == "succeeded"
+        # Within a batch, too, a success is better than more rows.
+        rank = F.struct(F.when(good, 1).otherwise(0), F.when(good, 0).otherwise(F.col("n_rows")), F.struct(*[F.col(c) for c in batch.columns if c != key]))
+        best = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), rank).alias("_row")).select("_row.*")
+        write(keep_best(read(), best, key, identity))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
