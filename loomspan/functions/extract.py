@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,24 +20,24 @@ NEXT_LABEL = (
 )
 DATE = r"20\s*\d{2}\s*[年./-]\s*\d{1,2}\s*[月./-]\s*\d{1,2}\s*日?"
 REPORT_NUMBERS = (r"报告[编編]号\s*[：:]?\s*([A-Z0-9-]{6,})", r"(TTTS[-–—]?WT\d{8,})", r"\b(W0\d{10,})\b", r"\b(W\d{8,})\b", r"\b(TNL\d{8,}[A-Z]?)\b", r"\b((?=[A-Z0-9_-]*\d)[A-Z]{2,8}[-_]?[A-Z0-9-]{6,})\b")
-NOT_NUMBERS = ("INSPECTION", "REPORT", "CATEGORY", "BALABALA", "SAMPLENAME")
-INSTITUTION_TERMS = "检测|检验|测试|试验|实验室|认证|计量|质量技术服务|质检"
-INSTITUTION_SUFFIXES = "检测实验室|检验实验室|质量中心检测部|检验检测中心|质量检验中心|纤维检验中心|检测中心|检验中心|测试中心|研究院有限公司|集团有限公司|股份有限公司|有限公司|研究院|实验室|中心检测部"
-INSTITUTION_EXCLUSIONS = "委托单位|委托方|送检单位|受检单位|被检单位|申请单位|申请人|客户|生产单位|生产者|标称生产企业|供应商|制造商|附设机构|分包机构|分包实验室|未经|复制报告|无效|本中心批准"
+NOT_NUMBERS = ("INSPECTION", "REPORT", "CATEGORY", "SAMPLENAME")
+INSTITUTION_TERMS = ("检测", "检验", "测试", "试验", "实验室", "认证", "计量", "质量技术服务", "质检")
+INSTITUTION_SUFFIXES = ("检测实验室", "检验实验室", "质量中心检测部", "检验检测中心", "质量检验中心", "纤维检验中心", "检测中心", "检验中心", "测试中心", "研究院有限公司", "集团有限公司", "股份有限公司", "有限公司", "研究院", "实验室", "中心检测部")
+INSTITUTION_EXCLUSIONS = ("委托单位", "委托方", "送检单位", "受检单位", "被检单位", "申请单位", "申请人", "客户", "生产单位", "生产者", "标称生产企业", "供应商", "制造商", "附设机构", "分包机构", "分包实验室", "未经", "复制报告", "无效", "本中心批准")
 MARK_TOKENS = ("CMA", "MA", "MMA")
 TOP_BAND, LEAST_MARK, LEAST_NUMBER, LEAST_OVERLAP, MOST_APART, MOST_BELOW = 0.68, 0.25, 0.8, 0.25, 0.04, 0.15
 
 
-def report_number(text: Column, fallback: Column) -> Column:
-    """The first pattern that gives a number, on the text and then without white space; else a fallback that holds a digit."""
-    tries = []
+def report_number(text: Column, fallback: Column, brands: Sequence[str] = ()) -> Column:
+    """The first pattern that gives a number, on the text and then without white space; else a fallback that holds a digit. ``brands``: names in capitals that are no numbers."""
+    tries, no_numbers = [], [*NOT_NUMBERS, *brands]
     for source in (F.coalesce(text, F.lit("")), compact(text)):
         for pattern in REPORT_NUMBERS:
             all_ = F.transform(F.regexp_extract_all(source, F.lit("(?i)" + pattern), 1), lambda x: F.translate(compact(x), "—–", "--"))
             first = F.get(all_, 0)
-            tries.append(F.when(first.isNotNull() & ~F.upper(first).isin(*NOT_NUMBERS), first))
+            tries.append(F.when(first.isNotNull() & ~F.upper(first).isin(*no_numbers), first))
     other = compact(fallback)
-    usable = other.rlike(r"\d") & ~other.rlike("(?i)^[0-9a-f]{32,64}$") & (F.upper(other) != "BALABALA")
+    usable = other.rlike(r"\d") & ~other.rlike("(?i)^[0-9a-f]{32,64}$") & ~F.upper(other).isin("", *brands)
     return F.coalesce(*tries, F.when(usable, other), F.lit(""))
 
 
@@ -117,9 +119,9 @@ def institutions(pages: DataFrame) -> DataFrame:
     first = pages.withColumn("f", F.min("page").over(W.partitionBy("url"))).filter("page = f")
     lines = first.select("url", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     lines = lines.withColumn("before", F.lag("line").over(W.partitionBy("url").orderBy("at")))
-    name = F.regexp_extract(compact(F.col("line")), rf"([一-鿿（）()]{{2,40}}(?:{INSTITUTION_SUFFIXES}))", 1)
-    ours = ~F.col("line").rlike(INSTITUTION_EXCLUSIONS) & ~F.coalesce(F.col("before").rlike(rf"(?:{INSTITUTION_EXCLUSIONS})\s*[：:]?\s*$"), F.lit(False))
-    named = lines.filter(ours).withColumn("institution", name).filter(F.col("institution").rlike(INSTITUTION_TERMS))
+    name = F.regexp_extract(compact(F.col("line")), rf"([一-鿿（）()]{{2,40}}(?:{"|".join(INSTITUTION_SUFFIXES)}))", 1)
+    ours = ~F.col("line").rlike("|".join(INSTITUTION_EXCLUSIONS)) & ~F.coalesce(F.col("before").rlike(rf"(?:{"|".join(INSTITUTION_EXCLUSIONS)})\s*[：:]?\s*$"), F.lit(False))
+    named = lines.filter(ours).withColumn("institution", name).filter(F.col("institution").rlike("|".join(INSTITUTION_TERMS)))
     counted = named.groupBy("url", "institution").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("at"))
     legal = F.when(F.col("institution").rlike("有限公司$"), 2).when(F.col("institution").rlike("(?:研究院|中心)$"), 1).otherwise(0)
     return counted.groupBy("url").agg(F.max_by("institution", F.struct(legal, F.length("institution"), "n", F.negative("at"))).alias("institution"))

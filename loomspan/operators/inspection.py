@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspan.functions import text as T
-from loomspan.operators.relational import explode_lines, ordered_distinct_join, relationship_id, roll_up_verdict
+from loomspan.operators.relational import explode_lines, numbered, ordered_distinct_join, relationship_id, roll_up_verdict
 
 #: Names that a source column goes by, the first that is there counts.
 HEADERS = {
@@ -56,7 +55,7 @@ def relationships(records: DataFrame, workbook: str = "") -> DataFrame:
 def work_list(rows: DataFrame) -> DataFrame:
     """Distinct links with the order of their first appearance as report index, from 1."""
     firsts = rows.filter("url <> '' and invalid_reason = ''").groupBy("url").agg(F.min(F.struct("source_sheet", "source_row")).alias("at"))
-    return firsts.select("url", F.row_number().over(W.orderBy("at", "url")).alias("report_index"))
+    return numbered(firsts, ["at", "url"], "report_index").select("url", F.col("report_index").cast("int").alias("report_index"))
 
 
 def scope(rows: DataFrame, skus: Sequence[str] | None) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspan.functions.text import blank
+from loomspan.operators.held import written
 
 
 def relationship_id(*parts: Column, prefix: str = "src-") -> Column:
@@ -90,12 +91,32 @@ def midpoint_bounds(df: DataFrame, by: Sequence[str], order: Sequence[str], valu
     return df.withColumn("lower", half(F.lag(value).over(w))).withColumn("upper", half(F.lead(value).over(w)))
 
 
-def first_in_range(left: DataFrame, right: DataFrame, on: Sequence[str], condition: Column, key: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Of the right rows with equal keys that a range condition allows, the first by order; left rows without one stay."""
-    hits = left.join(right, list(on)).filter(condition).groupBy(*key).agg(F.min_by(F.struct(*values), F.struct(*order)).alias("_first"))
+def first_in_range(left: DataFrame, right: DataFrame, on: Sequence[str], condition: Column, key: Sequence[str], order: Sequence[str], values: Sequence[str], within: tuple[Column, Column, Column, float] | None = None) -> DataFrame:
+    """Of the right rows with equal keys that a range condition allows, the first by order; left rows without one stay.
+
+    within: lowest and highest value that a left row allows, the right row's value, and a width. Rows then meet by stretches of that width beside their keys, so
+    that a key with many rows is compared by neighbours only; the condition must imply the bounds."""
+    keys = list(on)
+    a, b = left, right
+    if within:
+        low, high, value, width = within
+        stretch = lambda c: F.floor(c / F.lit(float(width)))
+        a, b = left.withColumn("_s", F.explode(F.sequence(stretch(low), stretch(high)))), right.withColumn("_s", stretch(value))
+        keys = [*keys, "_s"]
+    hits = a.join(b, keys).filter(condition).groupBy(*key).agg(F.min_by(F.struct(*values), F.struct(*order)).alias("_first"))
     return left.join(hits, list(key), "left").select(*[F.col(c) for c in left.columns], *[F.col(f"_first.{v}").alias(v) for v in values])
 
 
+def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Adds the place of each row in the order of its columns, from 1: rows are sorted by ranges, counted in each, and moved by what lies in the ranges before."""
+    placed = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright(F.col("_id"), 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))  # one row a partition
+    before = sizes.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_before"))
+    at = (F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1).cast("long")
+    return placed.join(F.broadcast(before), part == F.col("_part")).select(*df.columns, at.alias(name))
+
+
 def fill_down(df: DataFrame, by: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
     """The last value that isn't blank, up to and with the row itself."""
     w = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
@@ -118,14 +139,20 @@ def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataF
 
 def prefer_detail(df: DataFrame, key: Sequence[str], concrete: Column, detailed: Column, method: Column, verdict: Column, qualitative: Column) -> DataFrame:
     """Without rows that only conclude, where the group has a detailed row, unless they are qualitative exceptions or use a
-    method that no detailed row uses."""
-    w = W.partitionBy(*key)
+    method that no detailed row uses.
+
+    The methods of detailed rows, once each, and an empty one for each group that has any: a row that only concludes goes if its own is
+    among them. One aggregate and one join by equality; rows that can't go have no join key and are not shuffled to any group."""
     bare = F.regexp_replace(F.coalesce(method, F.lit("")), r"\s+", "")
-    marked = df.withColumn("_concrete", concrete).withColumn("_detailed", detailed).withColumn("_method", bare)
-    marked = marked.withColumn("_any", F.max("_detailed").over(w)).withColumn("_methods", F.collect_set(F.when(F.col("_detailed"), F.col("_method"))).over(w))
-    known = (F.col("_method") == "") | F.array_contains("_methods", F.col("_method"))
-    drop = F.col("_any") & ~F.col("_concrete") & (F.coalesce(verdict, F.lit("")) != "") & ~qualitative & known
-    return marked.filter(~drop).drop("_concrete", "_detailed", "_method", "_any", "_methods")
+    certain = lambda c: F.coalesce(c, F.lit(False))
+    concludes = ~certain(concrete) & (F.coalesce(verdict, F.lit("")) != "") & ~certain(qualitative)
+    methods = F.explode(F.array_distinct(F.array(bare, F.lit("")))).alias("_known")
+    known = df.filter(certain(detailed)).select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)], methods).distinct()
+    marked = df.withColumn("_method", F.when(concludes, bare))
+    same = F.col("_method") == F.col("_known")
+    for i, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    return marked.join(known, same, "left_anti").select(*df.columns)
 
 
 def count_with_examples(df: DataFrame, by: Sequence[str], value: str, order: Sequence[str], n: int, separator: str = ",") -> DataFrame:

@@ -132,7 +132,8 @@ def spatial_theta(spark, sf_dir):
     left = events.filter("event_type = 'click'").select("event_id", "user_id", "value", "ts")
     right = events.filter("event_type = 'purchase'").select(F.col("event_id").alias("hit"), "user_id", F.col("value").alias("other"), F.col("ts").alias("at"))
     near = F.expr("at >= ts and at <= ts + interval 6 hours and abs(other - value) <= 20")
-    return R.first_in_range(left, right, ["user_id"], near, ["event_id"], ["at", "hit"], ["hit"]).select("event_id", "hit")
+    hours = lambda c: F.unix_micros(F.col(c).cast("timestamp")) / 3.6e9
+    return R.first_in_range(left, right, ["user_id"], near, ["event_id"], ["at", "hit"], ["hit"], (hours("ts"), hours("ts") + 6, hours("at"), 6)).select("event_id", "hit")
 
 
 @query("""SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role, text
