@@ -3,8 +3,8 @@
 Features are the character 1- to 3-grams of the lower-cased text, its runs of anything but letters read as one space,
 hashed to ``FEATURES`` places. A feature's value is its share of the text's n-grams times its inverse document frequency,
 which is counted over every training document. The weights are learned by follow-the-regularised-leader with elastic-net
-penalties on a bounded sample (at most ``SAMPLE_ROWS`` documents, the first by a hash of the id, equally many of each
-language); a part of the sample is set aside to fit the temperature that calibrates the scores. Prediction reads every
+penalties on a bounded sample (at most ``SAMPLE_ROWS`` documents, the first by a hash of id and text, equally many of each
+language, repeated ones once); a part of the sample is set aside to fit the temperature that calibrates the scores. Prediction reads every
 whole text once. Values are linear in the counts, so a text's logits are a mean of weights over its n-grams.
 
 Nulls: a text that is null or has no letter is ``und`` with score 0; a null language or id is never learned from, and a
@@ -25,6 +25,8 @@ from loomspan.llm.scratch import ship, with_columns
 
 FEATURES, GRAMS = 1 << 16, 3
 SAMPLE_ROWS = 2400
+#: A language has so many rows in the sample at least, repeated ones if it has no others.
+LEAST_ROWS = 10
 MOST_LANGS = 1000
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 1.0, 1.0, 2e-4, 1e-3
 #: Values are shares of a text, so small; this brings them to the size that the penalties are set for.
@@ -124,7 +126,9 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, most_langs: int =
     have a letter there is nothing to learn, and every prediction is ``und``."""
     ship(labelled.sparkSession)
     labelled = labelled.filter("lang is not null and text is not null")
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs + 1).collect()}
+    ticket = F.xxhash64("text", F.lit(5))
+    counted = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(ticket).alias("least")).orderBy(F.desc("n"), "lang").limit(most_langs + 1).collect()
+    sizes, least = {r["lang"]: r["n"] for r in counted}, {r["lang"]: r["least"] for r in counted}
     langs = list(sizes)
     nothing = Model([], np.zeros((FEATURES, 1), np.float32), np.zeros(1), 1.0)
     if not langs:
@@ -134,9 +138,15 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, most_langs: int =
     sample_rows = max(sample_rows, 4 * len(langs))
     # A threshold on the hash takes about as many rows of each language; the limit then bounds what reaches the driver.
     share = sample_rows // len(langs)
-    unit = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    unit = F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
     part = F.coalesce(*[F.when(F.col("lang") == x, F.lit(min(1.0, share / n))) for x, n in sizes.items()], F.lit(0.0))
-    sample = labelled.filter(unit < part).select("lang", "text").mapInArrow(_counts, "lang string, places binary, counts binary").limit(2 * sample_rows).collect()
+    # Repeated rows are drawn together and count once; the text of each language with the least hash is always among them.
+    always = F.coalesce(*[F.when(F.col("lang") == x, ticket == F.lit(h)) for x, h in least.items()], F.lit(False))
+    drawn = labelled.filter((unit < part) | always).select("lang", "text").distinct()
+    sample = drawn.mapInArrow(_counts, "lang string, places binary, counts binary").limit(2 * sample_rows + len(langs)).collect()
+    few = {x: [r for r in sample if r["lang"] == x] for x in langs}
+    # Rows of a language with very few texts are repeated, so that both parts of the sample hold some.
+    sample += [r for own in few.values() if 0 < len(own) < LEAST_ROWS for r in own * (-(-LEAST_ROWS // len(own)) - 1)]
     df = labelled.select("text").mapInArrow(_document_frequency, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()  # FEATURES + 1 rows at most
     df = {r["feature"]: r["n"] for r in df}
     docs = df.pop(-1, 0)

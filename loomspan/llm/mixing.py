@@ -7,11 +7,14 @@ adding a hash of the document and rounding down; of ``OFFSETS`` shifts of that h
 total is nearest its target. No step sorts, ranks or gathers the documents of a source.
 
 Nulls: a null text has size 0 and is taken 0 times its size; a null source is a source of its own and the last.
-A null or repeated id changes nothing but the hash: equal rows are rounded alike. No rows give no rows.
+A null or repeated id changes nothing but the hash: equal rows are numbered and lie evenly on the circle of hashes, so that together they are
+taken as often as their rates say. No rows give no rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,6 +23,8 @@ from loomspan.llm.scratch import Scratch, small, with_columns, word_count
 
 WEIGHTS, SHARE, CAP = (3, 1, 2), 1.5, 2.0
 OFFSETS = 64
+#: Rows that agree in all that tells rows apart are numbered in so many buckets.
+BUCKETS = 64
 STEPS, CLOSE = 60, 1e-10
 
 
@@ -72,9 +77,32 @@ def _rated(docs: DataFrame, solved: DataFrame, cap: float) -> DataFrame:
     bound = F.when(F.col("target") > 0, F.lit(float(cap))).otherwise(F.lit(0.0))
     rate = F.when(F.col("lam").isNull(), bound).otherwise(F.round(F.least(F.lit(float(cap)), F.exp(F.col("lam") * F.col("size") / F.col("mean"))), 9))
     u = F.pmod(F.xxhash64("doc_id", "size", *[c for c in ("mark",) if c in docs.columns]), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    if "nth" in docs.columns:  # equal rows lie evenly on the circle, so that together they take what their rates say
+        u = F.pmod(u + F.col("nth") / F.col("times"), F.lit(1.0))
     return out.withColumn("rate", rate).withColumn("u", u)
 
 
+def _told_apart(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """docs with ``nth`` (from 0) and ``times`` among the rows that agree in id, source, size and mark. Which of equal rows has which number
+    is of no account. They are numbered in buckets, so that a row that is repeated very often isn't sorted in one task."""
+    key = [c for c in ("doc_id", "source", "size", "mark") if c in docs.columns]
+    often = docs.groupBy(*key).agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    often = scratch.table(often.select(*[F.col(c).alias(f"of_{c}") for c in key], "times"))
+    if often.isEmpty():
+        return docs.withColumn("nth", F.lit(0).cast("long")).withColumn("times", F.lit(1).cast("long"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in key])
+    joined = docs.join(small(often), same, "left").drop(*[f"of_{c}" for c in key])
+    once = joined.filter("times is null").withColumn("times", F.lit(1).cast("long")).withColumn("nth", F.lit(0).cast("long"))
+    again = scratch.table(joined.filter("times is not null").withColumn("bucket", F.pmod(F.monotonically_increasing_id(), F.lit(BUCKETS)).cast("int")))
+    hashed = F.xxhash64(*key)
+    sizes = again.groupBy(hashed.alias("h"), "bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("h").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    sizes = sizes.select(F.col("h").alias("of_h"), F.col("bucket").alias("of_bucket"), before.alias("before"))
+    again = again.withColumn("h", hashed).withColumn("own", F.row_number().over(W.partitionBy("h", "bucket").orderBy("size")) - 1)
+    again = again.join(sizes, (F.col("h") == F.col("of_h")) & (F.col("bucket") == F.col("of_bucket"))).withColumn("nth", (F.col("before") + F.col("own")).cast("long"))
+    return once.unionByName(again.select(*once.columns))
+
+
 def _copies(shift) -> Column:
     return F.floor(F.col("rate") + F.pmod(F.col("u") + shift, F.lit(1.0))).cast("long")
 
@@ -97,8 +125,10 @@ def solve(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = C
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """docs: doc_id, source, size (long), and mark, a hash of whatever else tells rows apart (null if absent): rows that agree in
-    id, size and mark are rounded alike. Returns each with source_size, target, rate and copies (0 to ``cap``)."""
-    docs = Scratch(docs.sparkSession, "sizes").table(with_columns(docs, {"doc_id": "long", "source": "string", "size": "long"} | ({"mark": "long"} if "mark" in docs.columns else {})))
+    all of them are rounded together. Returns each with source_size, target, rate and copies (0 to ``cap``)."""
+    scratch = Scratch(docs.sparkSession, "sizes")
+    docs = scratch.table(with_columns(docs, {"doc_id": "long", "source": "string", "size": "long"} | ({"mark": "long"} if "mark" in docs.columns else {})))
+    docs = scratch.table(_told_apart(docs, scratch))
     out = _rated(docs, solve(docs, weights, share, cap), cap)
     return out.select("doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), F.col("target").cast("double").alias("target"), "rate", _copies(F.col("shift")).alias("copies"))
 
@@ -107,8 +137,9 @@ def mix_documents(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, c
     """Every document as often as the mix takes it, with its own columns."""
     names = documents.columns
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *[c.alias(n) for n, c in _sizes().items()])
-    sizes = Scratch(documents.sparkSession, "sizes").table(documents.select(*[c.alias(n) for n, c in _sizes().items()]))
-    out = _rated(rows, solve(sizes, weights, share, cap), cap).withColumn("copies", _copies(F.col("shift"))).filter("copies > 0")
+    scratch = Scratch(documents.sparkSession, "sizes")
+    sizes = scratch.table(documents.select(*[c.alias(n) for n, c in _sizes().items()]))
+    out = _rated(_told_apart(rows, scratch), solve(_told_apart(sizes, scratch), weights, share, cap), cap).withColumn("copies", _copies(F.col("shift"))).filter("copies > 0")
     return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
 
 

@@ -1,8 +1,7 @@
 """Substring dedup by sliding sentence spans.
 
 Sentences end at ``. ! ?`` before white space or at a line's end. A span is a run of several consecutive sentences: at
-least ``SENTENCES`` of them with ``LEAST_WORDS`` words together, or fewer that hold ``MANY_WORDS`` words (long sentences
-stand for several). From every sentence the shortest span that starts there and the shortest that ends there are hashed
+least ``SENTENCES`` of them with ``LEAST_WORDS`` words together, or two that hold ``MANY_WORDS`` words. One sentence, however long, is no span. From every sentence the shortest span that starts there and the shortest that ends there are hashed
 (96 bits, over their words, so that case and spacing don't matter). Spans meet by hash over the whole corpus; of equal
 ones the first, by document id and place, stays, and every sentence under any other is removed.
 
@@ -21,9 +20,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspan.llm.scratch import ship, with_columns
+from loomspan.llm.scratch import Scratch, ship, small, with_columns
 
-SENTENCES, LEAST_WORDS, MANY_WORDS = 3, 20, 40
+SENTENCES, LEAST_WORDS, MANY_WORDS = 3, 20, 30
+#: First places of repeated spans are broadcast up to so many.
+BROADCAST_SPANS = 500_000
 _END = re.compile(r"[.!?]+[\"')\]]*(?=\s)\s+|\n\s*")
 
 
@@ -45,9 +46,9 @@ def spans(text: str) -> list[tuple[int, int, int, int]]:
     if not n:
         return []
     at = np.arange(n)
-    last = np.minimum(np.maximum(np.searchsorted(sizes, sizes[at] + LEAST_WORDS, "left"), at + SENTENCES), np.searchsorted(sizes, sizes[at] + MANY_WORDS, "left"))
+    last = np.minimum(np.maximum(np.searchsorted(sizes, sizes[at] + LEAST_WORDS, "left"), at + SENTENCES), np.maximum(np.searchsorted(sizes, sizes[at] + MANY_WORDS, "left"), at + 2))
     ending = at + 1
-    first = np.maximum(np.minimum(np.searchsorted(sizes, sizes[ending] - LEAST_WORDS, "right") - 1, ending - SENTENCES), np.searchsorted(sizes, sizes[ending] - MANY_WORDS, "right") - 1)
+    first = np.maximum(np.minimum(np.searchsorted(sizes, sizes[ending] - LEAST_WORDS, "right") - 1, ending - SENTENCES), np.minimum(np.searchsorted(sizes, sizes[ending] - MANY_WORDS, "right") - 1, ending - 2))
     runs = {(int(i), int(j)) for i, j in zip(at, last, strict=True) if j <= n}
     ended = {j for _, j in runs}
     runs |= {(int(i), int(j)) for i, j in zip(first, ending, strict=True) if i >= 0 and int(j) not in ended}
@@ -71,10 +72,12 @@ def _spans(batches):
 
 def repeated(documents: DataFrame) -> DataFrame:
     """doc_id, tag, ranges: sentences (first, last) to remove, of the documents (doc_id, tag, text) that have any."""
-    found = documents.mapInArrow(_spans, "doc_id long, tag int, first int, last int, h1 long, h2 int")
+    scratch = Scratch(documents.sparkSession, "spans")
+    found = scratch.table(documents.mapInArrow(_spans, "doc_id long, tag int, first int, last int, h1 long, h2 int"))  # texts are read once for it
     place = F.struct("doc_id", "first")
     firsts = found.groupBy("h1", "h2").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    others = found.join(firsts.select("h1", "h2", "at"), ["h1", "h2"]).filter(place > F.col("at"))
+    firsts = scratch.table(firsts.select("h1", "h2", "at"))
+    others = found.join(small(firsts, BROADCAST_SPANS), ["h1", "h2"]).filter(place > F.col("at"))
     ranges = F.collect_set(F.struct("first", "last"))  # at most two for each sentence of the document
     return others.groupBy("doc_id", "tag").agg(ranges.alias("ranges"))
 

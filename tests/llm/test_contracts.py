@@ -49,3 +49,30 @@ def test_stages_keep_clashing_columns(spark):
         assert got.columns == docs.columns, name
         for r in got.collect():
             assert [r[n] for n in names] == [f"{n}{r.doc_id}" for n in names], name
+
+
+def test_equal_rows_take_what_their_rates_say(spark):
+    """400 equal rows of one id a source are not all taken or all left."""
+    rows = [(7, prose(1, 10), "a")] * 400 + [(8, prose(2, 10), "b")] * 400 + [(9, prose(3, 25), "c")] * 333 + [(i, prose(i, 30), "c") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for parts in (3, 17):
+        mixed = mixing.mix(docs.repartition(parts).select(*[c.alias(n) for n, c in mixing._sizes().items()])).collect()
+        assert len(mixed) == len(rows)
+        for source in "abc":
+            own = [r for r in mixed if r.source == source]
+            assert abs(sum(r.copies * r.size for r in own) - own[0].target) <= 0.01 * own[0].target, source
+        taken = sorted((r.doc_id, r.copies) for r in mixed)
+        again = sorted((r.doc_id, r.copies) for r in mixing.mix(docs.repartition(5).select(*[c.alias(n) for n, c in mixing._sizes().items()])).collect())
+        assert taken == again
+    kept = mixing.mix_documents(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, n in taken for _ in range(n))
+
+
+def test_a_language_of_one_repeated_text_is_learned(spark):
+    spanish = "la casa grande está cerca del río y los niños juegan con el perro en la calle"
+    rows = [(1, spanish, "es")] * 3000 + [(10 + i, prose(i, 40), "en") for i in range(3000)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(model.langs) == ["en", "es"]
+    asked = spark.createDataFrame([(1, spanish), (2, prose(5, 40))], "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(asked, model).collect()}
+    assert got[1][0] == "es" and got[1][1] > 0.5 and got[2][0] == "en"

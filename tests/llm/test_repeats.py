@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -10,20 +11,66 @@ from loomspan.llm import runlength, spans
 from tests.llm.helpers import none, odd, odd_rows, prose
 
 
+def sentences_of(text):
+    """(start, end, words) of every piece of a text up to a mark of an end before white space, or a line's end; written without the module."""
+    out, a = [], 0
+    for m in re.finditer(r"[.!?]+[\"')\]]*\s+|\n\s*", text):
+        out.append((a, m.end()))
+        a = m.end()
+    if a < len(text) or not out:
+        out.append((a, len(text)))
+    return [(x, y, text[x:y].lower().split()) for x, y in out]
+
+
+def runs_of(text):
+    """Runs of sentences that count, as (first, last, words): from each sentence on, and back from each where no other run ends."""
+    full = [(i, w) for i, (_, _, w) in enumerate(sentences_of(text)) if w]
+    counts = lambda k, n: k >= 3 and n >= 20 or k >= 2 and n >= 30
+    runs = set()
+    for i in range(len(full)):
+        j = next((j for j in range(i + 1, len(full) + 1) if counts(j - i, sum(len(w) for _, w in full[i:j]))), None)
+        if j:
+            runs.add((i, j))
+    ends = {j for _, j in runs}
+    for j in range(1, len(full) + 1):
+        i = next((i for i in range(j - 1, -1, -1) if counts(j - i, sum(len(w) for _, w in full[i:j]))), None)
+        if i is not None and j not in ends:
+            runs.add((i, j))
+    return [(full[i][0], full[j - 1][0], tuple(x for _, w in full[i:j] for x in w)) for i, j in runs]
+
+
 def spans_brute(rows):
-    """Removed sentences of each row, by the spans of the module but with a plain dictionary."""
+    """Removed sentences of each row: those under a run whose words came before, by id and place."""
     first = {}
     for i, t in rows:
-        for a, _, *h in spans.spans(t or ""):
-            first[tuple(h)] = min(first.get(tuple(h), (i, a)), (i, a))
-    gone = []
-    for i, t in rows:
-        lost = set()
-        for a, b, *h in spans.spans(t or ""):
-            if (i, a) > first[tuple(h)]:
-                lost |= set(range(a, b + 1))
-        gone.append((i, lost))
-    return gone
+        for a, _, words in runs_of(t or ""):
+            first[words] = min(first.get(words, (i, a)), (i, a))
+    return [(i, {x for a, b, words in runs_of(t or "") if (i, a) > first[words] for x in range(a, b + 1)}) for i, t in rows]
+
+
+def test_one_long_sentence_is_no_span(spark):
+    long_ = " ".join(f"word{chr(97 + i % 26)}{i}" for i in range(45)) + "."
+    rows = [(i, f"{prose(700 + i, 6)} {long_}") for i in range(4)] + [(9, f"{long_} {long_}"), (10, f"{long_} {long_}")]
+    got = {r.doc_id: r.n_removed for r in spans.remove_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 9: 0, 10: 2}
+    assert spans.spans(long_) == [] and spans.spans("a b c.\n" + long_)[0][:2] == (0, 1)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_spans_equal_plain_form(spark, seed):
+    rng = random.Random(seed)
+    sentence = lambda: " ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(rng.randint(1, 18))).capitalize() + rng.choice([". ", "! ", "?\n", "\n\n", ".) ", " "])
+    pool = [[sentence() for _ in range(rng.randint(1, 6))] for _ in range(12)]
+    cut = lambda p: p[rng.randint(0, 1) : len(p) - rng.randint(0, 1)]
+    text = lambda: "".join("".join(cut(rng.choice(pool))) if rng.random() < 0.4 else sentence() for _ in range(rng.randint(0, 8)))
+    rows = [(i, text()) for i in range(150)] + [(200, None), (201, ""), (202, " \n ")]
+    got = {r.doc_id: r for r in spans.remove_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}
+    removed = 0
+    for (i, lost), (_, t) in zip(spans_brute(rows), rows, strict=True):
+        kept = None if t is None else "".join(t[a:b] for k, (a, b, _) in enumerate(sentences_of(t)) if k not in lost)
+        assert got[i].text == kept and got[i].n_removed == len(lost), i
+        removed += len(lost)
+    assert removed > 200
 
 
 def test_sentence_spans(spark):
