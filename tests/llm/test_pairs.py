@@ -195,3 +195,65 @@ def test_short_lines_with_typos(spark):
     share = {kind: [got[i] for i in wanted if wanted[i] == kind] for kind in set(wanted.values())}
     print({k: (sum(v), len(v)) for k, v in sorted(share.items())})
     assert all(sum(v) >= 0.9 * len(v) for v in share.values()), {k: (sum(v), len(v)) for k, v in sorted(share.items())}
+
+
+def _changed(rng, line, share):
+    """A line with one letter changed, or with that share of its letters."""
+    at = [i for i, c in enumerate(line) if c != " "]
+    other = list(line)
+    for i in rng.sample(at, max(1, int(share * len(at)))):
+        other[i] = rng.choice("qvwxz")
+    return "".join(other)
+
+
+def test_long_lines_with_typos(spark):
+    """The same by length and share of changed letters; whatever is within the similarity, most is found."""
+    rng, rows, wanted = random.Random(9), [], {}
+    for n in (25, 30, 60, 100):
+        for share in (0, 0.02, 0.05, 0.09):
+            for _ in range(50):
+                line = " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.choice((2, 3, 3, 4, 4, 5, 5, 6, 7, 8)))) for _ in range(n))
+                wanted[len(rows) + 1] = (n, share)
+                rows += [(len(rows), line), (len(rows) + 1, _changed(rng, line, share))]
+    got = {r.doc_id: r.n_removed for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), by_words=True).collect()}
+    assert not any(got[i] for i in got if i not in wanted)
+    share = {kind: sum(got[i] for i in wanted if wanted[i] == kind) for kind in set(wanted.values())}
+    print(sorted(share.items()))
+    assert all(n >= 45 for n in share.values()), sorted(share.items())
+
+
+def test_crowded_keys(spark, monkeypatch):
+    """Unlike lines around one phrase, with pairs that differ in scattered letters among them: found though the phrase's keys are crowded."""
+    monkeypatch.setattr(lines, "CROWD", 4)
+    rng, rows, wanted = random.Random(10), [], set()
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.choice((3, 4, 5, 6, 7))))
+    for i in range(120):
+        line = " ".join([word() for _ in range(15)] + ["wonderful", "phrases", "everywhere", "repeated"] + [word() for _ in range(15)])
+        rows.append((len(rows), line))
+        if i % 3 == 0:
+            wanted.add(len(rows))
+            rows.append((len(rows), _changed(rng, line, 0.06)))
+    got = {r.doc_id: r.n_removed for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), by_words=True).collect()}
+    assert not any(got[i] for i in got if i not in wanted)
+    assert sum(got[i] for i in wanted) >= 0.9 * len(wanted)
+
+
+def test_letters_bound_the_distance(spark):
+    from pyspark.sql import functions as F
+
+    rng, rows = random.Random(11), []
+    for _ in range(300):
+        a = "".join(rng.choice("etaoinsrhldcumxyz ") for _ in range(rng.choice((0, 3, 40, 700))))
+        b = list(a)
+        for _ in range(rng.randint(0, 12)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 1)] = rng.choice(("", "e", "te", "z"))
+        rows.append((a, "".join(b) if rng.random() < 0.8 else "e" * rng.randint(0, 900)))
+    df = spark.createDataFrame(rows, "a string, b string")
+    x, y = lines.letter_counts(F.col("a")), lines.letter_counts(F.col("b"))
+    d = F.levenshtein("a", "b")
+    got = df.select(lines._letters_near(x, y, d).alias("at"), lines._letters_near(x, y, d - 1).alias("below"), "a", "b").collect()
+    assert all(r["at"] for r in got)
+    plain = [max(sum(max(0, min(r.a.count(c), 255) - min(r.b.count(c), 255)) for c in lines.COUNTED), sum(max(0, min(r.b.count(c), 255) - min(r.a.count(c), 255)) for c in lines.COUNTED)) for r in got]
+    far = df.select(*[lines._letters_near(x, y, F.lit(k)).alias(f"n{k}") for k in (0, 1, 5, 30)]).collect()
+    assert [tuple(r) for r in far] == [tuple(p <= k for k in (0, 1, 5, 30)) for p in plain]
