@@ -29,41 +29,67 @@ from loomspan.llm.scratch import ship, with_columns
 from loomspan.llm.shingles import mixed
 
 FEATURES, GRAMS, WINDOW = 1 << 17, 3, 200
-VARIANTS, FALSE_SHARE, COVERAGE, SPARSE = 60, 0.002, 0.7, 0.5
+VARIANTS, FALSE_SHARE, COVERAGE, SPARSE = 24, 0.02, 0.7, 0.5
+#: A licence has at least this calibrated score.
+LEAST_SCORE = 0.2
 UNKNOWN = "unknown"
-#: Notices by which works state their licence, by family.
+#: Notices by which works state their licence, by family; identifiers of a machine-readable notice follow by rule.
 TEMPLATES = {
     "MIT": [
-        "Released under the MIT License.",
-        "Licensed under the MIT License.",
-        "SPDX-License-Identifier: MIT",
+        "MIT License", "The MIT License (MIT)", "Released under the MIT License.", "Licensed under the MIT License.", "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ],
     "Apache-2.0": [
-        "Licensed under the Apache License, Version 2.0.",
-        "SPDX-License-Identifier: Apache-2.0",
+        "Apache License Version 2.0, January 2004", "Licensed under the Apache License, Version 2.0.",
         "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ],
+    "GPL-2.0": [
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991", "This work is licensed under the GNU General Public License, version 2.",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or any later version.",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    ],
     "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "SPDX-License-Identifier: GPL-3.0",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "This work is licensed under the GNU General Public License, version 3.",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
     ],
-    "LGPL": ["under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "SPDX-License-Identifier: LGPL-3.0"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
-    "BSD": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-        "Released under the BSD License.",
-        "SPDX-License-Identifier: BSD-3-Clause",
+    "LGPL-2.1": [
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or any later version.",
+    ],
+    "LGPL-3.0": [
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "This library is licensed under the GNU Lesser General Public License, version 3.",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+    ],
+    "AGPL-3.0": [
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007", "This program is licensed under the GNU Affero General Public License, version 3.",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+    ],
+    "MPL-2.0": [
+        "Mozilla Public License Version 2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0",
+    ],
+    "BSD-2-Clause": ["BSD 2-Clause License", "Released under the 2-clause BSD License.", "Licensed under the Simplified BSD License."],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License", "Released under the 3-clause BSD License.", "Licensed under the New BSD License.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     ],
+    "BSD": ["Released under the BSD License.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
+    "ISC": ["ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "EPL-2.0": ["Eclipse Public License v 2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose"],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related rights to this work.", "Released under CC0 1.0 into the public domain."],
-    "Proprietary": ["All rights reserved. No part of this publication may be reproduced or transmitted in any form without the prior written permission of the publisher."],
+    "CC0-1.0": ["CC0 1.0 Universal", "To the extent possible under law, the author has waived all copyright and related rights to this work.", "Released under CC0 1.0 into the public domain."],
+    "Proprietary": ["All rights reserved.", "All rights reserved. No part of this publication may be reproduced or transmitted in any form without the prior written permission of the publisher."],
 }
+#: Families without an identifier of their own, and those whose identifiers also say which versions are meant.
+UNIDENTIFIED, WITH_VERSIONS = ("BSD", "Proprietary"), ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+for _family, _texts in TEMPLATES.items():
+    _texts += [f"SPDX-License-Identifier: {_family}{more}" for more in (("", "-only", "-or-later") if _family in WITH_VERSIONS else ("",))] if _family not in UNIDENTIFIED else []
+#: A template of so few words counts only in a paragraph of at most so many: a heading, not a mention.
+SHORT, SHORT_WITHIN = 3, 8
 #: Ordinary sentences, some of them with the licences' words.
 ORDINARY = [
     "The driver showed his license to the officer at the border.", "She was released from hospital under the care of her doctor.", "The city council issued a new license for the market.",
@@ -73,6 +99,9 @@ ORDINARY = [
     "The notice above the door says that the shop is closed.", "An international conference on commons and forests took place.", "The Apache helicopter landed near the river.",
     "The author thanks the foundation for its support.", "Free entry for children under the age of twelve.", "The terms of the contract were not met in time.", "The source of the river lies in the hills.",
     "A license is required to fish in this lake.", "The album was released in May and sold well.", "It is licensed to carry forty passengers.", "The university offers courses in law and in history.",
+    "The band released the album under the MIT label in 2004.", "She studied at MIT and later wrote about the Apache people of Arizona.", "The eclipse was visible to the general public in version two of the planetarium.", "Mozilla announced a new browser for phones.",
+    "A simplified form of the clause was added to the new agreement.", "The foundation published either version of the story in its magazine.", "Creative work in common rooms needs attribution of tasks.", "The domain was released to the public by the museum.",
+    "Redistribution of land was permitted under the following conditions.", "The Lesser Antilles lie between two seas.", "No part of the bridge may be used without written permission.", "Neither the name nor the address of the holder was known.", "Anyone is free to use the path along the lake.",
 ]
 Model = namedtuple("Model", "families weights temperature least")
 _WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
@@ -110,44 +139,86 @@ def _pairs(words: list[str]) -> set[tuple[str, str]]:
 _TEMPLATE_PAIRS = {family: [_pairs(words_of(t)) for t in texts] for family, texts in TEMPLATES.items()}
 #: Words with a digit of each template.
 _VERSIONS = {family: [{w for w in words_of(t) if re.search("[0-9]", w)} for t in texts] for family, texts in TEMPLATES.items()}
+_SIZES = {family: [len(words_of(t)) for t in texts] for family, texts in TEMPLATES.items()}
 _ALL_PAIRS = set().union(*[t for texts in _TEMPLATE_PAIRS.values() for t in texts])
 
 
 def coverage(words: list[str], family: str) -> float:
-    """The largest share of a template's word pairs that stand in the paragraph; a template with a version counts only if that is there."""
+    """The largest share of a template's word pairs that stand in the paragraph; a template with a version counts only if that is there,
+    a heading only in a short paragraph."""
     own, there = _pairs(words), set(words)
-    return max(len(t & own) / len(t) if v <= there else 0.0 for t, v in zip(_TEMPLATE_PAIRS[family], _VERSIONS[family], strict=True))
+    shares = [len(t & own) / len(t) for t, v, n in zip(_TEMPLATE_PAIRS[family], _VERSIONS[family], _SIZES[family], strict=True) if v <= there and (n > SHORT or len(words) <= SHORT_WITHIN)]
+    return max(shares, default=0.0)
 
 
-def train(variants: int = VARIANTS) -> Model:
-    """The classifier, from the tables of this module alone: the same each time."""
+def confirmed(words: list[str], family: str) -> bool:
+    """Whether a template of the family stands in the paragraph, and none of another family does so better: what tells Affero, Lesser and versions apart."""
+    own = coverage(words, family)
+    return own >= COVERAGE and all(coverage(words, other) <= own for other in TEMPLATES if other != family)
+
+
+def _samples(variants: int) -> list[tuple[list[str], int, int]]:
+    """Words, class and the number of the template or sentence that they were made of."""
     rng, families = random.Random(11), [*TEMPLATES, UNKNOWN]
     foreign = lambda: ["".join(rng.choice("abcdefghilmnoprstuvw") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(0, 12))]
     common = [w for s in ORDINARY for w in words_of(s)]
-    samples = []
+    samples, number = [], 0
     for i, family in enumerate(TEMPLATES):
         for template in TEMPLATES[family]:
-            words = words_of(template)
+            words, number = words_of(template), number + 1
             for v in range(variants):
                 kept = [w for w in words if len(words) < 8 or v == 0 or rng.random() > 0.1]
                 around = [rng.choice(common) for _ in range(rng.randint(0, 4))] if v % 3 == 2 else []
-                samples.append((foreign() + around + kept + foreign() if v else kept, i))
+                samples.append((foreign() + around + kept + foreign() if v and len(words) > SHORT else kept, i, number))
                 if len(words) > 4:
                     piece = rng.randint(0, len(words) - 2)
-                    samples.append((foreign() + words[piece : piece + 2] + foreign(), len(families) - 1))
+                    samples.append((foreign() + words[piece : piece + 2] + foreign(), len(families) - 1, number))
     for sentence in ORDINARY:
+        number += 1
         for _ in range(variants):
-            samples.append((foreign() + words_of(sentence) + foreign(), len(families) - 1))
-            samples.append((foreign() + rng.sample(common, 8) + foreign(), len(families) - 1))
+            samples.append((foreign() + words_of(sentence) + foreign(), len(families) - 1, number))
+            samples.append((foreign() + rng.sample(common, 8) + foreign(), len(families) - 1, number))
     rng.shuffle(samples)
-    rows = [(places_of(w), y) for w, y in samples]
-    held, kept = rows[::4], [r for i, r in enumerate(rows) if i % 4]
-    weights = fit_ftrl([(at, np.ones(len(at)), y) for at, y in kept], len(families), FEATURES, epochs=3, l1=SPARSE)
-    logits, right = np.array([weights[at].sum(0) for at, _ in held]), np.array([y for _, y in held])
+    return samples
+
+
+def train(variants: int = VARIANTS) -> Model:
+    """The classifier, from the tables of this module alone: the same each time.
+
+    Temperature and threshold come from a first fit that has not seen every fourth template and sentence, on these: variants of one text never
+    lie on both sides. The weights are then fitted to all of them."""
+    families, rows, held, logits, right = _held_out(variants)
     temperature = min(np.exp(np.linspace(-2, 3, 101)), key=lambda t: -np.log(np.maximum(_softmax(logits / t)[np.arange(len(right)), right], 1e-12)).mean())
     scores = _softmax(logits / temperature)[:, :-1].max(1)
     others = np.sort(scores[right == len(families) - 1])[::-1]
-    return Model(families, weights.astype(np.float32), float(temperature), max(0.5, float(others[int(FALSE_SHARE * len(others))]) + 1e-9))
+    return Model(families, _fit(rows, families).astype(np.float32), float(temperature), max(LEAST_SCORE, float(others[int(FALSE_SHARE * len(others))]) + 1e-9))
+
+
+def _fit(rows, families) -> np.ndarray:
+    return fit_ftrl([(at, np.ones(len(at)), y) for at, y, *_ in rows], len(families), FEATURES, epochs=2, l1=SPARSE)
+
+
+def _held_out(variants: int):
+    """Families, all rows (places, class, source, words), those of every fourth source, and the logits and classes of these by a fit without them."""
+    families = [*TEMPLATES, UNKNOWN]
+    rows = [(places_of(w), y, source, w) for w, y, source in _samples(variants)]
+    held = [r for r in rows if r[2] % 4 == 0]
+    weights = _fit([r for r in rows if r[2] % 4], families)
+    return families, rows, held, np.array([weights[at].sum(0) for at, *_ in held]), np.array([y for _, y, *_ in held])
+
+
+def rates(model: Model, variants: int = VARIANTS) -> dict[str, float]:
+    """Shares on templates and sentences that the judging fit has not seen: unknown ones taken for a licence, and confirmed as one; licences not predicted, and licences
+    of seen templates that the model at hand doesn't confirm."""
+    families, rows, held, logits, right = _held_out(variants)
+    p = _softmax(logits / model.temperature)
+    best, unknown = p[:, :-1].argmax(1), right == len(families) - 1
+    passed = p[np.arange(len(p)), best] >= model.least
+    sure = np.array([bool(x) and confirmed(r[3], families[i]) for x, i, r in zip(passed, best, held, strict=True)])
+    known = np.abs(model.weights).sum(1) > 0
+    whole = [(words_of(t), f) for f, texts in TEMPLATES.items() for t in texts]
+    missed = [not _labels(w, model, known).get(f, (0, False))[1] for w, f in whole]
+    return {"false": float(passed[unknown].mean()), "false_confirmed": float(sure[unknown].mean()), "missed_unseen": float(1 - (passed & (best == right))[~unknown].mean()), "missed_templates": float(np.mean(missed))}
 
 
 def _labels(words: list[str], model: Model, known: np.ndarray) -> dict[str, tuple[float, bool]]:
@@ -162,7 +233,7 @@ def _labels(words: list[str], model: Model, known: np.ndarray) -> dict[str, tupl
         p = _softmax(model.weights[places].sum(0, dtype=np.float64) / model.temperature)
         i = int(p[:-1].argmax())
         if p[i] >= model.least and p[i] > best.get(model.families[i], (0,))[0]:
-            best[model.families[i]] = (float(p[i]), coverage(part, model.families[i]) >= COVERAGE)
+            best[model.families[i]] = (float(p[i]), confirmed(part, model.families[i]))
     return best
 
 
