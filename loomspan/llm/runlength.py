@@ -32,6 +32,8 @@ LENGTH = 400
 GRAMS, CROWD = (64, 232, 316, 358, 379, 390, 400), 4096
 #: Bytes that are indexed together, and of a long text that are keyed at a time.
 GROUP_BYTES, CHUNK = 1 << 20, 1 << 21
+#: Symbols that are compared at once.
+COMPARED = 1 << 18
 LAST_ID = (1 << 63) - 1
 _BYTE = np.random.default_rng(314159).integers(1, 1 << 63, 256, np.uint64)
 _BASE, _BACK = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -92,53 +94,64 @@ class RunLengthIndex:
         ends = np.cumsum([len(x) + 1 for x in texts])
         self.ends = ends
         k = len(texts)
-        symbols = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + k
+        symbols = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int32) + np.int32(k)
         symbols[ends - 1] = np.arange(k)
         n = len(symbols)
-        # Ranks of the suffixes by their first 2, 4, 8, ... symbols; a suffix that is alone keeps its rank.
-        base = np.append(symbols, -1)
-        key = symbols * (k + 257) + base[1:] + 1
+        # Ranks of the suffixes by their first 2, 4, 8, ... symbols; a suffix that is alone keeps its rank. Only the last ranks are held.
+        key = symbols * np.int64(k + 257)
+        key[:-1] += symbols[1:] + 1
         order = np.argsort(key, kind="stable")
-        rank = np.zeros(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
-        first = np.searchsorted(rank[order], np.arange(rank[order[-1]] + 1))
-        rank = first[rank]  # the place of the first suffix of the same rank
-        self.levels, width = [(1, symbols), (2, rank.copy())], 2
-        alone = np.bincount(rank, minlength=n)[rank] == 1
-        active = np.flatnonzero(~alone)
+        change = np.flatnonzero(np.diff(key[order], prepend=-1))
+        del key
+        runs = np.diff(np.append(change, n))
+        rank = np.empty(n, np.int32)
+        rank[order] = np.repeat(change, runs)  # the place of the first suffix of the same rank
+        active = np.sort(order[np.repeat(runs > 1, runs)]).astype(np.int32)
+        del order, change, runs
+        width = 2
         while len(active):
-            behind = np.zeros(len(active), np.int64)
-            inside = active + width < n
+            behind = np.zeros(len(active), np.int32)
+            inside = active < n - width
             behind[inside] = rank[active[inside] + width] + 1
             pair = np.lexsort((behind, rank[active]))
-            a, r, b = active[pair], rank[active][pair], behind[pair]
-            new = np.concatenate([[True], (r[1:] != r[:-1]) | (b[1:] != b[:-1])])
-            head = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-            offset = np.arange(len(a)) - np.repeat(head, np.diff(np.append(head, len(a))))
-            start = np.maximum.accumulate(np.where(new, np.arange(len(a)), 0))
-            rank = rank.copy()
-            rank[a] = r + offset[start]
+            active, behind = active[pair], behind[pair]
+            del pair, inside
+            r = rank[active]
+            head = np.diff(r, prepend=-1) != 0
+            new = head | (np.diff(behind, prepend=-1) != 0)
+            del behind
+            at = np.arange(len(active), dtype=np.int32)
+            first = np.maximum.accumulate(np.where(head, at, 0))
+            start = np.maximum.accumulate(np.where(new, at, 0))
+            rank[active] = r + (start - first)
+            del r, first, start, at, head
+            active = active[~(new & np.append(new[1:], True))]
             width *= 2
-            self.levels.append((width, rank))
-            single = new & np.append(new[1:], True)
-            active = a[~single]
-        suffixes = np.empty(n, np.int64)
-        suffixes[rank] = np.arange(n)
+        suffixes = np.empty(n, np.int32)
+        suffixes[rank] = np.arange(n, dtype=np.int32)
+        del rank
         transform = symbols[suffixes - 1]  # before the first symbol stands the last mark, which is unique too
-        self.n = n
+        self.n, self.symbols = n, symbols
         self.run_heads = np.flatnonzero(transform[1:] != transform[:-1]) + 1
         self.run_symbols = transform[np.concatenate([[0], self.run_heads])]
-        self.head_samples, self.end_samples = suffixes[self.run_heads], suffixes[self.run_heads - 1]
+        self.head_samples, self.end_samples = suffixes[self.run_heads].astype(np.int64), suffixes[self.run_heads - 1].astype(np.int64)
 
     def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Length of the longest common prefix of the suffixes at i and j."""
-        got, limit = np.zeros(len(i), np.int64), self.n
-        for width, rank in [*self.levels[:0:-1], *self.levels[1::-1]]:
-            x, y = i + got, j + got
-            fits = (x < limit) & (y < limit)
-            same = np.zeros(len(i), bool)
-            same[fits] = rank[x[fits]] == rank[y[fits]]
-            got += same * width
+        """Length of the longest common prefix of the suffixes at i and j, compared symbol by symbol.
+
+        Marks are unique, so a comparison ends within the texts; at the ends of runs all of them together take time by n log n at most."""
+        got, open_, width = np.zeros(len(i), np.int64), np.arange(len(i)), 16
+        padded = np.append(self.symbols, np.full(COMPARED, -1, np.int32))
+        while len(open_):
+            step, rest = max(1, COMPARED // width), []
+            for a in range(0, len(open_), step):
+                at = open_[a : a + step]
+                x, y = i[at] + got[at], j[at] + got[at]
+                differ = padded[x[:, None] + np.arange(width)] != padded[y[:, None] + np.arange(width)]
+                some = differ.any(1)
+                got[at] += np.where(some, differ.argmax(1), width)
+                rest.append(at[~some])
+            open_, width = np.concatenate(rest), min(width * 4, COMPARED)
         return got
 
     def matching_statistics(self) -> np.ndarray:

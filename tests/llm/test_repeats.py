@@ -150,3 +150,13 @@ def test_repeats_odd_rows(spark, monkeypatch):
     rows = [r[:2] for r in odd_rows()]
     assert result(runlength.remove_repeats(odd(spark))) == repeats_brute(rows)
     assert runlength.remove_repeats(none(spark)).count() == 0
+
+
+def test_index_of_a_periodic_text_stays_small():
+    import tracemalloc
+
+    tracemalloc.start()
+    found = runlength.RunLengthIndex([b"abcdefghij" * 200_000]).repeats(400)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [[(0, 1_999_600)]] and peak < 100e6, peak
