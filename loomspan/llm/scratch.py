@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     A cluster without the setting is refused: a machine-local folder would lose files there.
     """
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("loomspan.scratch", "")
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or spark.conf.get("loomspan.scratch", "")
     if not found:
         if not re.match(r"local(\[|$)", spark.sparkContext.master or ""):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")

@@ -6,7 +6,7 @@ of the widest side, each node with its tight bounding box. For a query q no poin
 far. Each query first searches one home shard; the k-th score found there goes with it to all others, so that their
 search starts with it. Ties go to the smaller id, so a box is left out only if its bound is below the k-th score.
 
-Nulls: a vector that is null, empty or holds null, NaN or infinite components takes no part, and so does a row without an
+Nulls: a vector that is null, empty or holds null, NaN or infinite components takes no part, nor does one with a rounded component beyond ``WIDEST``, and so does a row without an
 id. Only vectors of the query's length are its candidates. Equal rows count once. Scores are exact where sums of
 products stay below 2**53, and taken in 64-bit integers beyond. No queries or no candidates give no rows.
 """
@@ -23,7 +23,10 @@ from pyspark.sql import functions as F
 from loomspan.llm.scratch import Scratch, ship, with_columns
 
 K, SCALE, EVERY = 5, 256, 50
-SHARD, LEAF, QUERY_BLOCK = 8192, 128, 2048
+#: Vectors of a shard, points of a leaf, and queries that a shard is searched for at once: its points are sent once for each such block.
+SHARD, LEAF, QUERY_BLOCK = 8192, 128, 16_384
+#: Components beyond this have no exact products in 64-bit integers.
+WIDEST = 1 << 28
 
 
 class Tree:
@@ -117,8 +120,9 @@ def _rounded(scale: int):
                 values = vector.as_py()
                 if vec_id is None or not values or any(x is None for x in values):
                     continue
-                x = np.floor(scale * np.array(values, np.float64))
-                if np.isfinite(x).all():
+                with np.errstate(over="ignore", invalid="ignore"):
+                    x = np.floor(scale * np.array(values, np.float64))
+                if (np.abs(x) <= WIDEST).all():  # false for NaN
                     ids.append(vec_id)
                     dims.append(len(x))
                     out.append(x.astype("<i8").tobytes())

@@ -82,6 +82,17 @@ def test_tree_and_top_k(spark):
     assert topk.top_k(table.limit(0)).count() == 0
 
 
+def test_top_k_of_odd_vectors(spark, monkeypatch):
+    """Vectors beyond the integers take no part; columns of names that the operator makes fall away; queries in several blocks give the same."""
+    rng = random.Random(12)
+    rows = [(i, [float(rng.randint(-9, 9)) for _ in range(4)], "v", 1, 2.0, 3) for i in range(300)] + [(1000, [1e300, 1.0, 1.0, 1.0], "v", 1, 2.0, 3), (1050, [1e9, 0.0, 0.0, 0.0], "v", 1, 2.0, 3)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, v string, shard int, score double, rank int")
+    plain = {tuple(r) for r in topk.top_k(table).collect()}
+    assert {q for q, *_ in plain} == {0, 50, 100, 150, 200, 250} and not {i for _, _, i, _ in plain} & {1000, 1050}
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    assert {tuple(r) for r in topk.top_k(table, shard_rows=40).collect()} == plain
+
+
 def py_simhash(ws):
     h = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in ws]
     return sum(1 << b for b in range(63) if 2 * sum(x >> b & 1 for x in h) > len(h))
