@@ -221,14 +221,26 @@ def rates(model: Model, variants: int = VARIANTS) -> dict[str, float]:
     return {"false": float(passed[unknown].mean()), "false_confirmed": float(sure[unknown].mean()), "missed_unseen": float(1 - (passed & (best == right))[~unknown].mean()), "missed_templates": float(np.mean(missed))}
 
 
+_GAPS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _gaps(model: Model) -> np.ndarray:
+    """Of each place by how much its weight for any licence exceeds that for unknown, at most; of the last model asked for."""
+    if id(model.weights) not in _GAPS:
+        _GAPS.clear()
+        _GAPS[id(model.weights)] = model.weights, (model.weights[:, :-1] - model.weights[:, -1:]).max(1)
+    return _GAPS[id(model.weights)][1]
+
+
 def _labels(words: list[str], model: Model, known: np.ndarray) -> dict[str, tuple[float, bool]]:
     """Families of the windows of some words: the best score, and whether that window is confirmed."""
-    step = WINDOW // 2
-    best = {}
+    step, best, gaps = WINDOW // 2, {}, _gaps(model)
+    # A licence can't reach the least score where the gaps together don't.
+    least = model.temperature * np.log(model.least / max(1e-9, 1 - model.least)) - 1e-3
     for at in range(0, max(1, len(words) - step), step):
         part = words[at : at + WINDOW]
         places = places_of(part)
-        if not known[places[:-1]].any():
+        if not known[places[:-1]].any() or gaps[places].sum(dtype=np.float64) < least:
             continue
         p = _softmax(model.weights[places].sum(0, dtype=np.float64) / model.temperature)
         i = int(p[:-1].argmax())
