@@ -165,3 +165,15 @@ def test_files(spark, tmp_path):
     tables.write_new(spark.range(3), str(tmp_path / "t"))
     with pytest.raises(Exception, match="(?i)exist"):
         tables.write_new(spark.range(3), str(tmp_path / "t"))
+
+
+def test_source_counts_are_not_broadcast(spark):
+    """Tables that grow with the sources are merged: several of them broadcast at once don't fit a driver."""
+    from loomspan.operators.matching import resolve_relationships
+
+    names = "id string, url string, sku string, sheet string, row string, cell string, sample_type string, color string"
+    sources = spark.createDataFrame([("s1", "u", "k", "A", "1", "", "", "红"), ("s2", "u", "k", "B", "2", "", "", "")], names)
+    rows = spark.createDataFrame([("", "u", "k", "A", "", "", "", ""), ("", "u", "", "", "", "", "", "蓝"), ("x", "u", "", "", "", "", "", "")], names)
+    told = resolve_relationships(rows, sources)
+    assert told._jdf.queryExecution().optimizedPlan().toString().count("strategy=merge") == 5
+    assert sorted((r.resolution, r.resolved or "") for r in told.collect()) == [("exact", "s1"), ("exact", "s2"), ("unknown_id", "")]
