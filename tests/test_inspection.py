@@ -177,3 +177,17 @@ def test_source_counts_are_not_broadcast(spark):
     told = resolve_relationships(rows, sources)
     assert told._jdf.queryExecution().optimizedPlan().toString().count("strategy=merge") == 5
     assert sorted((r.resolution, r.resolved or "") for r in told.collect()) == [("exact", "s1"), ("exact", "s2"), ("unknown_id", "")]
+
+
+def test_overview_counts_each_value_once(spark):
+    """Products with and without values, errors and invalid names; the plan shuffles no row once for each count."""
+    from loomspan.operators import inspection
+
+    names = "sku string, url string, report_no string, parent string, class string, status string, include boolean, verdict string, sample_type string"
+    rows = [("k1", "u1", "R1", "p1", inspection.BASIC, "自动归并", True, "合格", "成衣"), ("k1", "u1", "R1", "p1", inspection.FUNCTIONAL, "自动归并", True, "-", "成衣"), ("k1", "u2", "", "p2", inspection.BASIC, "自动归并", False, None, None)]
+    rows += [("k2", "", None, "", None, "自动归并", None, "", ""), ("0", "u1", "R1", "p1", None, "自动归并", True, "合格", ""), (None, "u1", "R1", "p1", None, "自动归并", True, "合格", "")]
+    bad = spark.createDataFrame([("k1", "u2", "R9", "", "不通过"), ("k3", "u3", "", "", "")], "sku string, url string, report_no string, sample_type string, verdict string")
+    told = inspection.overview(spark.createDataFrame(rows, names), bad)
+    got = {r.sku: (r.n_reports, r.n_files, r.n_parents, r.n_basic, r.n_functional, r.n_samples, r.verdict, r.n_pending, r.n_error_files) for r in told.collect()}
+    assert got == {"k1": (2, 2, 1, 1, 1, 1, "不合格", 0, 1), "k2": (0, 0, 0, 0, 0, 0, "", 0, 0), "k3": (0, 1, 0, 0, 0, 0, "", 0, 1)}
+    assert "Expand" not in told._jdf.queryExecution().optimizedPlan().toString()
