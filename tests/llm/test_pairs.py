@@ -249,6 +249,20 @@ def test_crowded_keys(spark, monkeypatch):
     assert sum(got[i] for i in wanted) >= 0.9 * len(wanted)
 
 
+def test_crowds_lose_no_line(spark, monkeypatch):
+    """Pairs that share no key but those of a phrase that all lines hold, with one letter changed in every word of their own: each is found."""
+    monkeypatch.setattr(lines, "CROWD", 4)
+    rng, rows, wanted = random.Random(12), [], set()
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    phrase = [word() for _ in range(40)]
+    for _ in range(40):
+        own = [word() for _ in range(20)]
+        wanted.add(len(rows) + 1)
+        rows += [(len(rows), " ".join(own + phrase)), (len(rows) + 1, " ".join([w[:2] + rng.choice("qvwxz") + w[3:] for w in own] + phrase))]
+    got = {r.doc_id: r.n_removed for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), by_words=True).collect()}
+    assert {i for i in got if got[i]} == wanted
+
+
 def test_letters_bound_the_distance(spark):
     from pyspark.sql import functions as F
 
