@@ -249,6 +249,37 @@ def _labels(words: list[str], model: Model, known: np.ndarray) -> dict[str, tupl
     return best
 
 
+#: Places of the templates' word pairs, and the least number of them that confirms one.
+_PAIR_PLACES = np.zeros(FEATURES, bool)
+_PAIR_PLACES[np.concatenate([places_of([x, y])[:-1] for x, y in _ALL_PAIRS])] = True
+_LEAST_PAIRS = min(COVERAGE * len(t) for texts in _TEMPLATE_PAIRS.values() for t in texts)
+
+
+def _bounds(words: list[str], model: Model) -> tuple[list, list]:
+    """For the 1-, 2- and 3-grams of a text's words, sums from the start of what each adds to a licence's gap at most. Repeated ones count again, so the
+    grams of a window together never add less than its distinct ones. Then, as sums too, which pairs of words can be a template's."""
+    pairs = [0]
+    h = np.array([_hashes[w] for w in words], np.uint64)
+    gaps, sums, total = _gaps(model), [], np.zeros(len(h), np.uint64)
+    for n in range(min(GRAMS, len(h))):
+        total = total[: len(h) - n] * np.uint64(0x9E3779B97F4A7C15) + h[n:] + np.uint64(n)
+        at = mixed(total) & np.uint64(FEATURES - 1)
+        sums.append([0.0, *np.cumsum(np.maximum(gaps[at], 0), dtype=np.float64).tolist()])
+        if n == 1:
+            pairs += np.cumsum(_PAIR_PLACES[at]).tolist()
+    return sums, pairs
+
+
+def _reachable(sums: list, start: int, end: int, model: Model, least: float) -> bool:
+    """Whether some window of the words start to end can reach the least score, by `_bounds`; if not, `_labels` finds nothing there."""
+    step = WINDOW // 2
+    for at in range(start, max(start + 1, end - step), step):
+        stop = min(end, at + WINDOW)
+        if sum(s[max(at, stop - n)] - s[at] for n, s in enumerate(sums) if stop - n > at) >= least:
+            return True
+    return False
+
+
 def _wrapped(text: str, block: list[tuple[int, int, int]], found: list[dict], model: Model, known: np.ndarray) -> list[dict]:
     """Confirmed licences of lines (number, a, b) read together that no line of them confirms. A hyphen at a line's end joins."""
     if len(block) < 2:
@@ -264,18 +295,29 @@ def _wrapped(text: str, block: list[tuple[int, int, int]], found: list[dict], mo
 
 def scan_text(text: str, model: Model, known: np.ndarray) -> tuple[int, list[dict]]:
     """Number of paragraphs, and the licences found: paragraph, family, score, confirmed, a, b (characters). known: places with any weight."""
-    found, n, start, block = [], 0, 0, []
-    for number, line in enumerate(text.split("\n")):
-        words = words_of(line)
+    found, n, start, block, read = [], 0, 0, [], 0
+    lines = [(line, words_of(line)) for line in text.split("\n")]
+    sums, pairs = _bounds([w for _, words in lines for w in words], model)
+    first, hyphen = 0, False
+    # As in `_labels`; the margin covers the order of the sums.
+    least = model.temperature * np.log(model.least / max(1e-9, 1 - model.least)) - float(_gaps(model)[FEATURES]) - 2e-3
+    for number, (line, words) in enumerate(lines):
         n += bool(line.strip())
-        found += [{"paragraph": number, "family": f, "score": s, "confirmed": c, "a": start, "b": start + len(line)} for f, (s, c) in sorted(_labels(words, model, known).items())]
+        if _reachable(sums, read, read + len(words), model, least):
+            found += [{"paragraph": number, "family": f, "score": s, "confirmed": c, "a": start, "b": start + len(line)} for f, (s, c) in sorted(_labels(words, model, known).items())]
         if line.strip():
+            if not block:
+                first, hyphen = read, False
             block.append((number, start, start + len(line)))
-        elif block:
-            found += _wrapped(text, block, found, model, known)
+            hyphen = hyphen or line.rstrip(" \t\r").endswith("-")
+        read += len(words)
+        if block and (not line.strip() or number == len(lines) - 1):
+            # Without words that are joined over lines, the block's pairs are known: too few of them confirm nothing.
+            last = len(pairs) - 1
+            if hyphen or pairs[min(max(first, read - 1), last)] - pairs[min(first, last)] >= _LEAST_PAIRS:
+                found += _wrapped(text, block, found, model, known)
             block = []
         start += len(line) + 1
-    found += _wrapped(text, block, found, model, known) if block else []
     return n, found
 
 

@@ -261,3 +261,29 @@ def test_mixing_odd_rows(spark):
     assert mixing.mix_documents(none(spark)).count() == 0
     blank = odd(spark).withColumn("text", F.lit(None).cast("string"))
     assert mixing.mix_documents(blank).count() == 0
+
+
+def test_skipped_windows_hold_no_licence():
+    """What a text's sums skip is what reading every line and block finds nothing in; blocks without words, hyphens and long lines included."""
+    import numpy as np
+
+    from loomspan.llm import licences as L
+
+    model = L.train()
+    known, notices = np.abs(model.weights).sum(1) > 0, [t for texts in L.TEMPLATES.values() for t in texts]
+    rng, texts = random.Random(5), ["", "!!!", "one\n\n!!!", "-\n-", "x"]
+    for i in range(60):
+        words = rng.choice(notices).split()
+        cut = rng.randrange(len(words) + 1)
+        lines = [prose(i, rng.choice((1, 30, 500))), " ".join(words[:cut]) + rng.choice(("", "-", " ")), " ".join(words[cut:]), rng.choice(("", " ", "!!")), prose(i + 99, 3)]
+        texts.append("\n".join(rng.sample(lines, len(lines)) if i % 2 else lines))
+    for text in texts:
+        found, block, start = [], [], 0
+        for number, line in enumerate([*text.split("\n"), None]):
+            if line and line.strip():
+                found += [{"paragraph": number, "family": f, "score": s, "confirmed": c, "a": start, "b": start + len(line)} for f, (s, c) in sorted(L._labels(L.words_of(line), model, known).items())]
+                block.append((number, start, start + len(line)))
+            elif block:
+                found, block = found + L._wrapped(text, block, found, model, known), []
+            start += len(line or "") + 1
+        assert L.scan_text(text, model, known)[1] == found
