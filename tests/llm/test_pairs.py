@@ -282,3 +282,30 @@ def test_letters_bound_the_distance(spark):
     plain = [max(sum(max(0, min(r.a.count(c), 255) - min(r.b.count(c), 255)) for c in lines.COUNTED), sum(max(0, min(r.b.count(c), 255) - min(r.a.count(c), 255)) for c in lines.COUNTED)) for r in got]
     far = df.select(*[lines._letters_near(x, y, F.lit(k)).alias(f"n{k}") for k in (0, 1, 5, 30)]).collect()
     assert [tuple(r) for r in far] == [tuple(p <= k for k in (0, 1, 5, 30)) for p in plain]
+
+
+def test_pairs_are_verified_in_rounds(spark, monkeypatch):
+    """However many pairs there are, the texts of a round hold about the letters of all lines; the same pairs are found as in one round."""
+    from pyspark.sql import functions as F
+
+    base = prose(5, 30).lower().replace(".", "")
+    texts = [base[:i] + "z" + base[i + 1 :] for i in range(5)] + [prose(900 + i, 30).lower().replace(".", "") for i in range(3)]
+    table = spark.createDataFrame(list(enumerate(texts)), "k long, norm string")
+    pairs = spark.createDataFrame([(a, b) for b in range(8) for a in range(b)], "a long, b long")
+
+    class Watched(Scratch):
+        def table(self, df):
+            out = super().table(df)
+            if "norm_a" in out.columns:
+                held.append(out.agg(F.sum(F.length("norm_a") + F.length("norm_b"))).first()[0] or 0)
+            return out
+
+    found = []
+    for least in (1 << 40, 100):
+        monkeypatch.setattr(lines, "ROUND_LETTERS", least)
+        held = []
+        found.append(sorted(tuple(r) for r in lines.verified(pairs, table, Watched(spark, "t"), 0.9).collect()))
+        rounds = held
+    whole = sum(map(len, texts))
+    assert found[0] == found[1] and {(a, b) for b in range(5) for a in range(b)} <= set(found[0])
+    assert len(rounds) > 1 and max(rounds) < 3 * whole < sum(rounds)
