@@ -309,3 +309,46 @@ def test_pairs_are_verified_in_rounds(spark, monkeypatch):
     whole = sum(map(len, texts))
     assert found[0] == found[1] and {(a, b) for b in range(5) for a in range(b)} <= set(found[0])
     assert len(rounds) > 1 and max(rounds) < 3 * whole < sum(rounds)
+
+
+def test_lines_with_a_phrase_elsewhere_are_not_verified(spark, monkeypatch):
+    """Unlike lines of one length that share a phrase at different places can't be similar by it: no text of such pairs is compared; copies with typos are found."""
+    rng, rows, wanted = random.Random(13), [], set()
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    phrase = [word() for _ in range(8)]
+    for i in range(40):
+        own = [word() for _ in range(24)]
+        line = " ".join(phrase + own if i % 2 else own + phrase)
+        rows.append((len(rows), line))
+        if i % 4 < 2:
+            wanted.add(len(rows))
+            rows.append((len(rows), _changed(rng, line, 0.04)))
+    plain, compared = lines.verified, set()
+
+    def watched(pairs, texts, scratch, similarity):
+        texts_by = {r.k: r.norm for r in texts.select("k", "norm").collect()}
+        compared.update((texts_by[r.a], texts_by[r.b]) for r in pairs.select("a", "b").collect())
+        return plain(pairs, texts, scratch, similarity)
+
+    monkeypatch.setattr(lines, "verified", watched)
+    got = {r.doc_id: r.n_removed for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), by_words=True).collect()}
+    begins = {text: i % 2 for i, text in enumerate(text for n, text in rows if n not in wanted)}
+    assert {i for i in got if got[i]} == wanted
+    assert compared and all(begins[a] == begins[b] for a, b in compared if a in begins and b in begins)
+
+
+def test_many_pairs_are_tried_by_heads_first(spark, monkeypatch):
+    """With more pairs under keys than are compared at once the same lines go as without."""
+    rng, rows = random.Random(14), []
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    phrase = [word() for _ in range(30)]
+    for _ in range(25):
+        line = " ".join([word() for _ in range(10)] + phrase)
+        rows += [(len(rows), line), (len(rows) + 1, _changed(rng, line, 0.05)), (len(rows) + 2, _changed(rng, line, 0.05))]
+    found = []
+    for most, a_line, crowd in ((1 << 40, 200, 64), (0, 0, 64), (1 << 40, 200, 4)):
+        monkeypatch.setattr(lines, "MANY_PAIRS", most)
+        monkeypatch.setattr(lines, "PAIRS_A_LINE", a_line)
+        monkeypatch.setattr(lines, "CROWD", crowd)
+        found.append({r.doc_id: r.n_removed for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), by_words=True).collect()})
+    assert found[0] == found[1] == found[2] and sum(found[0].values()) == 50
