@@ -175,6 +175,16 @@ def test_edit_distance_of_long_lines(spark):
     assert got == plain and len(set(got.values())) == 2
 
 
+def test_a_pair_is_read_once(spark, capsys):
+    """Nothing but the bounded distance, which gives unlike lines up early, runs over a short pair's texts; no function is interpreted piece by piece."""
+    pairs = spark.createDataFrame([(1, 2, "abcd " * 20, "abcd " * 19 + "abce ", 10), (1, 3, "abcd " * 20, "efgh " * 20, 10)], "a long, b long, norm_a string, norm_b string, most int")
+    judged = lines._judged(pairs)
+    judged.explain()
+    plan = capsys.readouterr().out
+    assert "levenshtein" in plan and "regexp_extract_all" not in plan and plan.count("levenshtein(norm_a") == 1
+    assert {r.b: r.close for r in judged.collect()} == {2: True, 3: False}
+
+
 def test_fuzzy_lines_odd_rows(spark):
     rows = lines.dedup_lines(odd(spark)).collect()
     assert len(rows) == len(odd_rows())
