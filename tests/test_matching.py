@@ -147,3 +147,18 @@ def test_groups_equal_the_sequence(spark):
         leader[n] = next((x for x in names if x < n and leader.get(x) == x and _similar(x, n)), n)
     got = clusters.fuzzy_groups(spark.createDataFrame([(n, 1) for n in names], "name string, n int")).collect()
     assert {r.name: r.leader for r in got} == leader
+
+
+def test_sources_are_shuffled_once_by_what_rows_say(spark, capsys):
+    """What is counted of the sources goes by the fields that a row says alone, and without their ids; coloured and plain sources count as before."""
+    from loomspan.operators.matching import resolve_relationships
+
+    kind = "id string, url string, sku string, sheet string, row string, cell string, sample_type string, color string"
+    sources = spark.createDataFrame([("s1", "u", "k", "a", "1", "x", "t", "红"), ("s2", "u", "k", "b", "1", "x", "t", "红，蓝"), ("s3", "u", "k", "b", "2", "x", "t", ""), ("s4", "v", "", "a", "1", "x", "t", "")], kind)
+    rows = [("", "u", "k", "a", "", "", "", "红"), ("", "u", "k", "b", "", "", "", "蓝"), ("", "u", "k", "a", "", "", "", "蓝"), ("", "u", "k", "a", "", "", "", ""), ("", "v", "z", "q", "", "", "", ""), ("s3", "w", "", "", "", "", "", ""), ("s9", "u", "", "", "", "", "", "")]
+    told = resolve_relationships(spark.createDataFrame(rows, kind), sources)
+    told.explain()
+    shuffled = [line for line in capsys.readouterr().out.split("\n") if "Exchange hashpartitioning(" in line and "said" in line]
+    assert shuffled and not any("sample_type" in line or "cell" in line for line in shuffled)
+    got = [(r.resolution, r.resolved, r.n_candidates) for r in told.orderBy("url", "sheet", "color", "id").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, [("exact", "s1", 3), ("ambiguous", None, 3), ("ambiguous", None, 3), ("exact", "s1", 3), ("sole", "s4", 1), ("id", "s3", 0), ("unknown_id", None, 3)]))
